@@ -20,6 +20,41 @@ def clean_text(text: str | Column = "text") -> Column:
     return F.lower(F.regexp_replace(_col(text), fv.CLEAN_PATTERN, " "))
 
 
+def tokens(clean: str | Column) -> Column:
+    """``pyspark.ml.feature.Tokenizer`` semantics with built-in expressions (codegen, no UDF).
+
+    Lower-case, split on *single* whitespace, drop trailing empty strings (Java ``split``):
+    ``""`` gives ``[""]``, a whitespace-only text gives ``[]``, inner/leading empties are kept.
+    """
+    c = F.lower(_col(clean))
+    trimmed = F.regexp_replace(c, r"\s+\z", "")
+    return (F.when((trimmed == F.lit("")) & (c != F.lit("")), F.array().cast("array<string>"))
+            .otherwise(F.split(trimmed, r"\s")))
+
+
+def without_stop_words(tokens_col: Column, stop_words=fv.ENGLISH_STOP_WORDS) -> Column:
+    """Drop stop words (``StopWordsRemover``, case-insensitive, on lower-case tokens). The literal
+    list becomes a hash-set membership test (INSET) inside the lambda."""
+    stops = sorted({w.lower() for w in stop_words})
+    return F.filter(tokens_col, lambda t: ~t.isin(stops))
+
+
+def explode_rows(df, array_col: Column, names: tuple[str, ...], keep: list[str],
+                 with_pos: bool = False):
+    """Rows of ``array_col`` (empty or null arrays give none), like ``explode``/``posexplode``.
+
+    Written as the ``_outer`` generator plus a filter on the generated position so that Catalyst
+    does not infer ``size(array) > 0`` and push it below the generator: that inferred filter
+    evaluates the whole array expression (tokenization, hashing) a second time per row.
+    """
+    pos = "_pos"
+    gen = F.posexplode_outer(array_col).alias(pos, names[-1])
+    out = df.select(*keep, gen).filter(F.col(pos).isNotNull())
+    if with_pos:
+        return out.withColumnRenamed(pos, names[0])
+    return out.drop(pos)
+
+
 def words(text: str | Column = "text") -> Column:
     """Word-count tokens: split on runs of space/tab/newline/CR/form feed, empties dropped."""
     parts = F.split(_col(text), fv.WORD_DELIMITERS)

@@ -1,0 +1,18 @@
+"""Lineage cuts for intermediates that a plan uses more than once.
+
+``materialize`` writes a DataFrame through ``Dataset.checkpoint`` into the session's checkpoint
+directory (the cluster's shared ``spark.checkpoint.dir``; a scratch folder only when none is set,
+as in tests). Later stages read the checkpoint instead of re-scanning and re-parsing the corpus,
+and a lost executor costs a re-read of the checkpoint rather than the whole chain.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from quire.session import ensure_checkpoint_dir
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -43,13 +43,33 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def spread_small_input(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` by ``key`` only when its scan has fewer splits than the cluster has
+    cores; otherwise return it untouched.
+
+    Text operators are CPU-bound per row, so a corpus stored as a few large row groups would run
+    on a few cores. A big corpus has far more splits than cores and is never reshuffled here
+    (shuffling raw text at scale costs more than it saves). When the rule fires, partitioning by
+    the document key also pre-clusters every later ``groupBy(key, ...)``, which then needs no
+    exchange of its own.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    width = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(width, F.col(key))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, text)``: the books of the driver data. Null text is read as ``""``."""
-    return read_table(spark, sf_dir, "documents").select(
+    raw = read_table(spark, sf_dir, "documents").select(
         "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    return spread_small_input(raw, "doc_id")
 
 
 def headed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, text)`` with header lines prepended (see module docstring)."""
-    return read_table(spark, sf_dir, "documents").select(
+    raw = read_table(spark, sf_dir, "documents").select(
         "doc_id", F.expr(headed_text_sql("spark")).alias("text"))
+    return spread_small_input(raw, "doc_id")
