@@ -20,7 +20,8 @@ def read_book_files(spark: SparkSession, directory: str, pattern: str = "*.txt")
     ``file_name`` is the last path component as Spark reports it (percent-encoded, so ``a b.txt``
     becomes ``a%20b.txt``). Exactly-empty lines are dropped; files that then hold nothing vanish.
     """
-    raw = spark.read.option("wholetext", "true").text(f"{directory.rstrip('/')}/{pattern}")
+    # (the argument, not .option(): text() would reset the option to its own default)
+    raw = spark.read.text(f"{directory.rstrip('/')}/{pattern}", wholetext=True)
     return assemble_books(
         raw.select(md.file_name_from_path(F.col("_metadata.file_path")).alias("file_name"),
                    F.col("value").alias("text")),
