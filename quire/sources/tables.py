@@ -49,16 +49,19 @@ def spread_small_input(df: DataFrame, key: str) -> DataFrame:
 
     Text operators are CPU-bound per row, so a corpus stored as a few large row groups would run
     on a few cores. A big corpus has far more splits than cores and is never reshuffled here
-    (shuffling raw text at scale costs more than it saves). When the rule fires, partitioning by
-    the document key also pre-clusters every later ``groupBy(key, ...)``, which then needs no
-    exchange of its own.
+    (shuffling raw text at scale costs more than it saves).
+
+    The spread is by ``xxhash64(key)``, deliberately not by ``key``: a key partitioning would
+    satisfy the later ``groupBy(key, term)`` with no exchange, and then nothing after the
+    tokenizer could be shared between the TF and IDF branches; with the TF exchange in place
+    both read one reused shuffle and the text is tokenized once (measured faster at sf0.1).
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
     width = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(width, F.col(key))
+    return df.repartition(width, F.xxhash64(F.col(key)))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
