@@ -46,13 +46,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is; the local
     fallback is for tests and single-machine runs only.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        spark.sparkContext.setCheckpointDir(configured)
+        return spark.sparkContext.getCheckpointDir() or configured
+    if not spark.sparkContext.master.startswith("local"):
+        # a machine-local folder would not survive the loss of the executor that wrote it
+        raise RuntimeError("spark.checkpoint.dir is not set: point it at a shared folder")
     local = tempfile.mkdtemp(prefix="quire-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local

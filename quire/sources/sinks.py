@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +36,6 @@ def checkpoint_table(df: DataFrame, spark: SparkSession, name: str) -> DataFrame
     base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         raise RuntimeError("no checkpoint directory: set spark.checkpoint.dir")
-    path = f"{base.rstrip('/')}/quire-tables/{name}"
+    path = f"{base.rstrip('/')}/quire-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
