@@ -17,7 +17,7 @@ def clean_text(text: str | Column = "text") -> Column:
 
     Non-ASCII letters count as non-letters (``café`` -> ``caf``), exactly like the original rule.
     """
-    return F.lower(F.regexp_replace(_col(text), fv.CLEAN_PATTERN, " "))
+    return F.lower(F.regexp_replace(_col(text), fv.CLEAN_PATTERN_JAVA, " "))
 
 
 def tokens(clean: str | Column) -> Column:
@@ -32,11 +32,20 @@ def tokens(clean: str | Column) -> Column:
             .otherwise(F.split(trimmed, r"\s")))
 
 
+def stop_word_set(stop_words=fv.ENGLISH_STOP_WORDS) -> list[str]:
+    return sorted({w.lower() for w in stop_words})
+
+
+def is_stop_word(token: Column, stop_words=fv.ENGLISH_STOP_WORDS) -> Column:
+    """Membership in the stop-word list; the literal list becomes a hash-set test (INSET)."""
+    return token.isin(stop_word_set(stop_words))
+
+
 def without_stop_words(tokens_col: Column, stop_words=fv.ENGLISH_STOP_WORDS) -> Column:
-    """Drop stop words (``StopWordsRemover``, case-insensitive, on lower-case tokens). The literal
-    list becomes a hash-set membership test (INSET) inside the lambda."""
-    stops = sorted({w.lower() for w in stop_words})
-    return F.filter(tokens_col, lambda t: ~t.isin(stops))
+    """Drop stop words from a token array (``StopWordsRemover``, case-insensitive, on lower-case
+    tokens). Higher-order functions are interpreted, so where positions are not needed prefer
+    exploding first and filtering with :func:`is_stop_word` (whole-stage codegen)."""
+    return F.filter(tokens_col, lambda t: ~is_stop_word(t, stop_words))
 
 
 def explode_rows(df, array_col: Column, names: tuple[str, ...], keep: list[str],

@@ -96,3 +96,16 @@ def test_assemble_lines_rule(spark):
 def test_words_rule(spark):
     df = spark.createDataFrame([(" We're\tup\f all\r\n",)], "t string")
     assert df.select(tx.words("t")).first()[0] == ["We're", "up", "all"]
+
+
+def test_java_clean_pattern_equals_rule(spark, sf_smoke):
+    # the faster JVM spelling must match exactly what the stated rule matches
+    from quire.sources import tables
+
+    exotic = ["İstanbul \u212aelvin Å é É ß ẞ ǅ \u0085 \x0b\x0c x\ty\r\nz 😀 a1b2_c-d'e",
+              "ABC abc XYZ xyz [\\]^_` {|}~ @ 0-9", "", "   ", "\u00a0nbsp\u2028"]
+    docs = tables.documents(spark, sf_smoke).select("text").unionByName(
+        spark.createDataFrame([(t,) for t in exotic], "text string"))
+    a = docs.select(F.regexp_replace("text", fv.CLEAN_PATTERN, " ").alias("x"))
+    b = docs.select(F.regexp_replace("text", fv.CLEAN_PATTERN_JAVA, " ").alias("x"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
