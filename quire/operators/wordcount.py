@@ -15,6 +15,7 @@ from quire.functions import text as tx
 
 def word_count(df: DataFrame, text: str = "text", sort: bool = True) -> DataFrame:
     """``(word, count bigint)``; sorted by the word's UTF-8 bytes (capitals first) when ``sort``."""
-    counts = (tx.explode_rows(df, tx.words(text), ("word",), [])
+    counts = (tx.explode_rows(df, tx.word_pieces(text), ("word",), [])
+              .filter(F.col("word") != F.lit(""))
               .groupBy("word").agg(F.count(F.lit(1)).alias("count")))
     return counts.orderBy("word") if sort else counts

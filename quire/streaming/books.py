@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from quire.functions import metadata as md
 from quire.functions import text as tx
 from quire.operators.metadata import extract_metadata
+from quire.operators.wordcount import word_count
 
 BOOK_FILE_SCHEMA = "value string"
 
@@ -43,5 +44,4 @@ def stream_metadata(spark: SparkSession, directory: str, **kw) -> DataFrame:
 def stream_word_count(spark: SparkSession, directory: str, **kw) -> DataFrame:
     """Running ``(word, count)`` over all books seen so far (complete or update mode)."""
     books = stream_books(spark, directory, **kw)
-    return (tx.explode_rows(books, tx.words("text"), ("word",), [])
-            .groupBy("word").agg(F.count(F.lit(1)).alias("count")))
+    return word_count(books, "text", sort=False)

@@ -93,6 +93,16 @@ def test_assemble_lines_rule(spark):
     assert got == ["a\nb\nc\n   \nd", ""]
 
 
+def test_assemble_lines_equals_split_form(spark, sf_smoke):
+    from quire.sources import tables
+
+    edge = ["", "x", "\r\rx\r\n", "a\n\u2028", " \n \n", "a\r\n\rb", "\n\r\n\rq\r",
+            "a\u0085b\n"]
+    docs = tables.documents(spark, sf_smoke).select(tx.inject_blank_lines("text").alias("t"))
+    docs = docs.unionByName(spark.createDataFrame([(e,) for e in edge], "t string"))
+    assert docs.filter(tx.assemble_lines("t") != tx.assemble_lines_by_split("t")).count() == 0
+
+
 def test_words_rule(spark):
     df = spark.createDataFrame([(" We're\tup\f all\r\n",)], "t string")
     assert df.select(tx.words("t")).first()[0] == ["We're", "up", "all"]
