@@ -6,13 +6,6 @@ as in tests). Later stages read the checkpoint instead of re-scanning and re-par
 and a lost executor costs a re-read of the checkpoint rather than the whole chain.
 """
 
-from __future__ import annotations
+from quire.session import materialize
 
-from pyspark.sql import DataFrame
-
-from quire.session import ensure_checkpoint_dir
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+__all__ = ["materialize"]

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every entry point wants. AQE re-plans joins from runtime sizes (broadcast only when the
 # measured side is below the threshold), coalesces small shuffle partitions and splits skewed ones.
@@ -59,3 +59,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="quire-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage: write ``df`` through ``Dataset.checkpoint`` into the checkpoint directory.
+
+    Later stages read the checkpoint instead of recomputing the chain (a lost executor costs a
+    re-read), and Catalyst cannot push filters on expensive expressions below this point.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

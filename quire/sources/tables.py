@@ -55,10 +55,14 @@ def spread_small_input(df: DataFrame, key: str) -> DataFrame:
     satisfy the later ``groupBy(key, term)`` with no exchange, and then nothing after the
     tokenizer could be shared between the TF and IDF branches; with the TF exchange in place
     both read one reused shuffle and the text is tokenized once (measured faster at sf0.1).
+
+    Catalyst pushes filters through a repartition, so operators keep their filters cheap (for
+    example line assembly tests the raw text, not the assembled one); a checkpoint here was
+    measured slower overall, because the TF-IDF queries read their input more than once.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if 2 * df.rdd.getNumPartitions() > cores:
         return df
     width = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return df.repartition(width, F.xxhash64(F.col(key)))

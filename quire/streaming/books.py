@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import metadata as md
-from quire.functions import text as tx
 from quire.operators.metadata import extract_metadata
 from quire.operators.wordcount import word_count
+from quire.sources.books import assemble_books
 
 BOOK_FILE_SCHEMA = "value string"
 
@@ -31,9 +31,9 @@ def stream_books(spark: SparkSession, directory: str, pattern: str = "*.txt",
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.text(f"{directory.rstrip('/')}/{pattern}", wholetext=True)
-    books = raw.select(md.file_name_from_path(F.col("_metadata.file_path")).alias("file_name"),
-                       tx.assemble_lines("value").alias("text"))
-    return books.filter(F.col("text") != F.lit(""))
+    return assemble_books(
+        raw.select(md.file_name_from_path(F.col("_metadata.file_path")).alias("file_name"),
+                   F.col("value").alias("text")))
 
 
 def stream_metadata(spark: SparkSession, directory: str, **kw) -> DataFrame:
