@@ -40,13 +40,30 @@ def assemble_books(books: DataFrame, text: str = "text") -> DataFrame:
             .withColumn(text, tx.assemble_lines(text)))
 
 
+def first_by_key(books: DataFrame, n: int, key: str) -> DataFrame:
+    """The ``n`` rows with the smallest keys, reading the wide columns of those rows only.
+
+    A key-only scan finds the n-th smallest key (top-n taken map-side, one scalar back); the
+    rows are then selected with ``key <= cutoff`` as a literal, which reaches the Parquet scan
+    and skips row groups by their statistics, so the text of the other books is never read.
+    Equal keys at the cutoff are resolved by the final top-n, as ``orderBy(key).limit(n)`` does.
+    """
+    if n <= 0:
+        return books.limit(0)
+    keys = books.select(key).where(F.col(key).isNotNull()).orderBy(key).limit(n)
+    cutoff = keys.agg(F.max(key)).first()[0]
+    if cutoff is None:  # no non-null key at all
+        return books.orderBy(F.col(key)).limit(n)
+    return books.where(F.col(key) <= F.lit(cutoff)).orderBy(F.col(key)).limit(n)
+
+
 def subset(books: DataFrame, n: int | None, key: str = "file_name") -> DataFrame:
     """The first ``n`` books by key (all when ``n`` is None): a deterministic bounded load."""
     if n is None:
         return books
-    return books.orderBy(F.col(key)).limit(n)
+    return first_by_key(books, n, key)
 
 
 def preview(books: DataFrame, n: int, key: str = "file_name") -> DataFrame:
-    """First ``n`` rows by key; the top-n is taken map-side (TakeOrderedAndProject)."""
-    return books.orderBy(F.col(key)).limit(n)
+    """First ``n`` rows by key (see :func:`first_by_key`)."""
+    return first_by_key(books, n, key)
