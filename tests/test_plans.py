@@ -1,0 +1,71 @@
+"""Plan shape: the scale properties the operators rely on, checked on executed plans."""
+
+from quire.operators import similarity as sim
+from quire.operators import tfidf
+from quire.plans.catalog import QUERIES
+from quire.sources import tables
+
+
+def _executed(df) -> str:
+    df.collect()  # run with this DataFrame's own query execution, so AQE's final plan is shown
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tf_shuffle_is_shared_between_tf_and_idf(spark, sf_smoke):
+    plan = _executed(tfidf.tfidf_terms(tables.documents(spark, sf_smoke)))
+    assert "ReusedExchange" in plan  # one tokenization feeds both branches
+
+
+def test_preview_pushes_key_cutoff_to_parquet(spark, sf_smoke):
+    df = QUERIES["preview_books"](spark, sf_smoke)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(doc_id" in plan
+    assert [r.doc_id for r in df.collect()] == list(range(20))
+
+
+def test_spread_only_when_few_splits(spark, sf_smoke):
+    raw = tables.read_table(spark, sf_smoke, "documents")
+    many = raw.repartition(4 * spark.sparkContext.defaultParallelism)
+    assert tables.spread_small_input(many, "doc_id") is many
+    spread = tables.spread_small_input(raw.coalesce(1), "doc_id")
+    assert spread.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert spread.count() == raw.count()
+
+
+def test_similarity_without_broadcast_matches(spark, sf_smoke):
+    docs = tables.documents(spark, sf_smoke)
+    w = tfidf.tfidf_terms(docs).select("doc_id", "term", "tfidf")
+    a = sim.cosine_to_target(w, docs, 5, broadcast_target=True)
+    b = sim.cosine_to_target(w, docs, 5, broadcast_target=False)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_no_python_udf_in_text_plans(spark, sf_smoke):
+    for name in ("tokenize", "tfidf_terms", "word_count", "tfidf_hashed"):
+        plan = QUERIES[name](spark, sf_smoke)._jdf.queryExecution().executedPlan().toString()
+        assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_checkpoint_dir_is_required_on_a_cluster(monkeypatch, spark):
+    from quire import session
+
+    class _Ctx:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Spark:
+        sparkContext = _Ctx()
+        conf = _Conf()
+
+    try:
+        session.ensure_checkpoint_dir(_Spark())
+    except RuntimeError as e:
+        assert "spark.checkpoint.dir" in str(e)
+    else:
+        raise AssertionError("a cluster session without spark.checkpoint.dir must be refused")
