@@ -47,13 +47,12 @@ def first_by_key(books: DataFrame, n: int, key: str) -> DataFrame:
     rows are then selected with ``key <= cutoff`` as a literal, which reaches the Parquet scan
     and skips row groups by their statistics, so the text of the other books is never read.
     Equal keys at the cutoff are resolved by the final top-n, as ``orderBy(key).limit(n)`` does.
+    Rows with a null key are not ranked.
     """
-    if n <= 0:
-        return books.limit(0)
-    keys = books.select(key).where(F.col(key).isNotNull()).orderBy(key).limit(n)
+    keys = books.select(key).where(F.col(key).isNotNull()).orderBy(key).limit(max(n, 0))
     cutoff = keys.agg(F.max(key)).first()[0]
-    if cutoff is None:  # no non-null key at all
-        return books.orderBy(F.col(key)).limit(n)
+    if cutoff is None:  # n <= 0, or no keyed row at all
+        return books.limit(0)
     return books.where(F.col(key) <= F.lit(cutoff)).orderBy(F.col(key)).limit(n)
 
 

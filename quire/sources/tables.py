@@ -44,7 +44,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_small_input(df: DataFrame, key: str) -> DataFrame:
-    """Hash-partition ``df`` by ``key`` only when its scan has fewer splits than the cluster has
+    """Hash-spread ``df`` only when its scan has at most half as many splits as the cluster has
     cores; otherwise return it untouched.
 
     Text operators are CPU-bound per row, so a corpus stored as a few large row groups would run
