@@ -64,8 +64,9 @@ def spread_small_input(df: DataFrame, key: str) -> DataFrame:
     cores = spark.sparkContext.defaultParallelism
     if 2 * df.rdd.getNumPartitions() > cores:
         return df
-    width = max(cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return df.repartition(width, F.xxhash64(F.col(key)))
+    # two tasks per core balance books of very different lengths; the width follows the cores,
+    # not spark.sql.shuffle.partitions (an explicit repartition width is not coalesced by AQE)
+    return df.repartition(2 * cores, F.xxhash64(F.col(key)))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
