@@ -69,7 +69,7 @@ def similarity_job(spark: SparkSession, books_path: str, out_dir: str,
     docs = books.subset(spark.read.parquet(books_path).select(key, "text"), num_books, key=key)
     docs = materialize(docs) if num_books is not None else docs
     paths = {k: _out(out_dir, k) for k in (
-        "tfidf_vectors", "tfidf_terms", "similarities", "top_similar")}
+        "tfidf_vectors", "tfidf_terms", "similarities", "top_similar", "summary")}
     sinks.write_parquet(tfidf.tfidf_vectors(docs, key, num_features=num_features),
                         paths["tfidf_vectors"])
     sinks.write_parquet(tfidf.tfidf_terms(docs, key), paths["tfidf_terms"])
@@ -78,7 +78,10 @@ def similarity_job(spark: SparkSession, books_path: str, out_dir: str,
     sims = materialize(sim.cosine_to_target(weights, docs, tgt, key=key, feature="bucket",
                                             weight="weight"))
     sinks.write_parquet(sims, paths["similarities"])
-    sinks.write_parquet(sim.top_similar(sims, top_k, key=key), paths["top_similar"])
+    top = materialize(sim.top_similar(sims, top_k, key=key))
+    sinks.write_parquet(top, paths["top_similar"])
+    sinks.write_parquet(reports.similarity_summary(docs, top, tgt, num_features, key=key),
+                        paths["summary"])
     return paths
 
 

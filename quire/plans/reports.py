@@ -1,8 +1,9 @@
 """Tidy reports built from the aggregates: the summaries as DataFrames, not driver-side text.
 
 ``metadata_report`` -> ``(section, rank int, key, value double)``: the completeness statistics
-(section ``stats``) and the top languages and authors. ``network_summary`` -> ``(metric, value
-double)``. Both are a handful of rows assembled from one-row aggregates and top-k lists.
+(section ``stats``) and the top languages and authors. ``similarity_summary`` has the same shape:
+the configuration (books, features, target) and the ranked most similar books. ``network_summary``
+-> ``(metric, value double)``. All are a handful of rows from one-row aggregates and top-k lists.
 """
 
 from __future__ import annotations
@@ -58,3 +59,20 @@ def network_summary(author_years_df: DataFrame, edges: DataFrame, degrees: DataF
     names = ("books", "authors", "time_window", "edges", "avg_out_degree", "avg_in_degree")
     pairs = ", ".join(f"'{n}', {n}" for n in names)
     return row.select(F.expr(f"stack({len(names)}, {pairs}) as (metric, value)"))
+
+
+def similarity_summary(docs: DataFrame, top: DataFrame, target, num_features: int,
+                       key: str = "doc_id") -> DataFrame:
+    """Configuration rows (books compared, hash features, target) plus the ranked top list."""
+    row = docs.agg(F.count(F.lit(1)).cast("double").alias("books")).select(
+        "books", F.lit(float(num_features)).alias("features"),
+        F.lit(str(target)).alias("target"), F.lit(None).cast("double").alias("none"))
+    config = row.select(
+        F.lit("config").alias("section"),
+        F.expr("stack(3, 1, 'books', books, 2, 'features', features, 3, target, none)"
+               " as (rank, key, value)"))
+    config = config.select("section", F.col("rank").cast("int").alias("rank"), "key", "value")
+    ranked = top.select(F.lit("top_similar").alias("section"), F.col("rank").cast("int"),
+                        F.col(key).cast("string").alias("key"),
+                        F.col("similarity").cast("double").alias("value"))
+    return config.unionByName(ranked)

@@ -44,6 +44,10 @@ def test_batch_jobs(spark, tmp_path):
     assert spark.read.parquet(simp["similarities"]).count() == 3
     assert spark.read.parquet(simp["top_similar"]).count() == 2
     assert spark.read.parquet(simp["tfidf_vectors"]).count() == 4
+    summary = {(r.section, r.key): r.value for r in spark.read.parquet(simp["summary"]).collect()}
+    assert summary[("config", "books")] == 4.0 and summary[("config", "features")] == 2000.0
+    assert ("config", "book00.txt") in summary  # the target, smallest key
+    assert sum(1 for s, _ in summary if s == "top_similar") == 2
 
 
 def test_word_count_job(spark, tmp_path):
