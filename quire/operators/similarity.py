@@ -45,11 +45,11 @@ def cosine_to_target(weights: DataFrame, keys: DataFrame, target, key: str = "do
               .agg(F.sqrt(F.sum(w * w)).alias("_norm"), F.sum(w * F.col("_tw")).alias("_dot")))
     denom = F.col("_norm") * tnorm
     sim = F.when(denom > F.lit(0.0), F.col("_dot") / denom)
-    # The target is removed with an anti join against its own key row (one row for a key
-    # column). A plain `key != target` filter would be inferred through the outer join into
-    # the scoring branch, make it differ from the IDF branch, and cost a second pass over the
-    # corpus instead of a reused shuffle.
-    target_key = keys.select(key).filter(F.col(key) == tgt)
+    # The target is removed with an anti join against its own key (distinct: exactly one row,
+    # whatever the key's multiplicity). A plain `key != target` filter would be inferred through
+    # the outer join into the scoring branch, make it differ from the IDF branch, and cost a
+    # second pass over the corpus instead of a reused shuffle.
+    target_key = keys.select(key).filter(F.col(key) == tgt).distinct()
     others = keys.select(key).join(F.broadcast(target_key), key, "left_anti")
     return (others.join(scored, key, "left")
             .select(key, F.round(F.coalesce(sim, F.lit(0.0)), digits).alias("similarity")))
