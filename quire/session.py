@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoints written by materialize() are removed once their DataFrame is garbage-collected,
+    # so repeated jobs do not pile files up in the shared checkpoint folder
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
