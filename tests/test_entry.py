@@ -50,3 +50,11 @@ def test_oracle_sql_matches_spark_at_smoke_scale(spark, sf_smoke):
         duck = collections.Counter(tuple(r[i] for i in perm) for r in rel.fetchall())
         ours = collections.Counter(tuple(r) for r in df.collect())
         assert ours == duck, name
+
+
+def test_query_schemas_match_declarations(spark, sf_smoke):
+    from quire import schemas
+
+    assert set(schemas.QUERY_SCHEMAS) == set(QUERIES)
+    for name, fn in QUERIES.items():
+        schemas.check(fn(spark, sf_smoke), schemas.QUERY_SCHEMAS[name])
