@@ -1,9 +1,15 @@
 """Named queries over the driver tables: ``name -> (spark, sf_dir) -> DataFrame``.
 
 Each query reads the whole ``documents`` table (or the headed view derived from it) and composes the
-operators; none collects data. Two similarity queries run two tiny driver-side scalar jobs first:
-the default target key (``min(doc_id)``, a one-column scan) and, for exact terms, the size check
-of the target's term set that decides whether it may be broadcast.
+operators; none collects data. Some run small eager jobs while the plan is built, each returning
+one scalar or writing a checkpoint:
+
+* similarity: the default target key (``min(doc_id)``, a key-only scan) and, for exact terms, the
+  size check of the target's term set that decides whether it may be broadcast;
+* preview/subset: the n-th smallest key (key-only scan), used as a literal cutoff;
+* influence network: the checkpoint of the distinct author-years and the bucket count checked
+  before the salt table is broadcast;
+* metadata report: the checkpoint of the per-book metadata its three aggregates share.
 """
 
 from __future__ import annotations
