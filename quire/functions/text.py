@@ -64,6 +64,20 @@ def explode_rows(df, array_col: Column, names: tuple[str, ...], keep: list[str],
     return out.drop(pos)
 
 
+def evaluate_once(df, columns: dict[str, Column], keep: list[str]):
+    """Select ``keep`` plus ``columns``, computing each of ``columns`` exactly once per row.
+
+    Spark evaluates a filter and the projection above it separately, so ``filter(regex(text) !=
+    '')`` followed by ``select(regex(text))`` runs the regex twice, and the optimizer may push the
+    filter below a repartition into the scan. Emitting the values through a one-element
+    ``posexplode_outer`` makes them generated columns: later filters on them stay above the
+    generator and read the computed values instead of recomputing them.
+    """
+    packed = F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))
+    rows = explode_rows(df, packed, ("_v",), keep)
+    return rows.select(*keep, *[F.col("_v")[n].alias(n) for n in columns])
+
+
 def word_pieces(text: str | Column = "text") -> Column:
     """Split on runs of space/tab/newline/CR/form feed. A leading or trailing delimiter leaves one
     empty piece, which word counting drops after exploding (a plain filter, not a lambda)."""

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import fixed_values as fv
 from quire.functions import metadata as md
+from quire.functions import text as tx
 
 METADATA_COLUMNS = ("title", "author", "year", "language", "encoding", "release_date")
 
@@ -23,6 +24,7 @@ def extract_metadata(books: DataFrame, key: str = "file_name", text: str = "text
     The year is the first four digits of the extracted release date.
     """
     date = md.release_date(text)
+    # a plain projection, so a profile that reads one column computes only that regex
     return books.select(
         F.col(key),
         md.empty_to_null(md.raw_title(text)).alias("title"),
@@ -59,7 +61,10 @@ def value_counts(metadata: DataFrame, column: str, order: str = "count") -> Data
     ``order="count"`` sorts by count descending, then value ascending (a total order, so ties are
     deterministic); ``order="key"`` sorts by value ascending.
     """
-    counts = (metadata.filter(F.col(column).isNotNull())
+    # the value passes a once-barrier before the non-null filter, so its regex is not evaluated
+    # twice (filter and projection) nor pushed into the scan below a repartition
+    values = tx.evaluate_once(metadata, {column: F.col(column)}, [])
+    counts = (values.filter(F.col(column).isNotNull())
               .groupBy(column).agg(F.count(F.lit(1)).alias("count")))
     if order == "key":
         return counts.orderBy(F.col(column))
