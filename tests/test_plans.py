@@ -69,3 +69,10 @@ def test_checkpoint_dir_is_required_on_a_cluster(monkeypatch, spark):
         assert "spark.checkpoint.dir" in str(e)
     else:
         raise AssertionError("a cluster session without spark.checkpoint.dir must be refused")
+
+
+def test_header_regexes_are_not_evaluated_in_filters(spark, sf_smoke):
+    for name in ("language_distribution", "author_years", "books_per_year"):
+        plan = _executed(QUERIES[name](spark, sf_smoke))
+        filters = [ln for ln in plan.splitlines() if "Filter" in ln]
+        assert filters and not any("regexp_extract" in ln for ln in filters), name
