@@ -7,8 +7,8 @@ printed and nothing is collected. An intermediate that feeds several outputs is
     load_books_job      book files -> books Parquet (file_name, text)
     metadata_job        books -> metadata Parquet, per-year / language CSVs, encoding and
                         top-author tables, tidy report
-    similarity_job      books -> TF-IDF vectors (ML sparse vectors), exact-term weights,
-                        similarity of every book to the target and the top k
+    similarity_job      books -> TF-IDF vectors (ML sparse vectors), similarity of every book
+                        to the target, the top k and a summary
     network_job         books -> author years, influence edges, author degrees, top lists, summary
     word_count_job      text files -> ``word<TAB>count`` lines sorted by word (refuses an
                         existing output directory, like the MapReduce job)
@@ -64,16 +64,17 @@ def similarity_job(spark: SparkSession, books_path: str, out_dir: str,
     """TF-IDF vectors and the books most similar to ``target`` (default: smallest key).
 
     ``num_books`` keeps the first n books by key (the original default was 50); None = all.
-    Similarity uses the hashed TF-IDF of the saved vectors, as the original did.
+    Similarity uses the hashed TF-IDF of the saved vectors, as the original did: the weights are
+    read back from the written vectors, so the text is processed only by the IDF fit and the
+    vector transform.
     """
     docs = books.subset(spark.read.parquet(books_path).select(key, "text"), num_books, key=key)
     docs = materialize(docs) if num_books is not None else docs
     paths = {k: _out(out_dir, k) for k in (
-        "tfidf_vectors", "tfidf_terms", "similarities", "top_similar", "summary")}
+        "tfidf_vectors", "similarities", "top_similar", "summary")}
     sinks.write_parquet(tfidf.tfidf_vectors(docs, key, num_features=num_features),
                         paths["tfidf_vectors"])
-    sinks.write_parquet(tfidf.tfidf_terms(docs, key), paths["tfidf_terms"])
-    weights = materialize(tfidf.tfidf_hashed(docs, key, num_features=num_features))
+    weights = tfidf.weights_from_vectors(spark.read.parquet(paths["tfidf_vectors"]), key)
     tgt = target if target is not None else docs.agg(F.min(key)).first()[0]
     sims = materialize(sim.cosine_to_target(weights, docs, tgt, key=key, feature="bucket",
                                             weight="weight"))
