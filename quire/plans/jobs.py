@@ -1,8 +1,10 @@
 """End-to-end batch jobs: the original scripts' workflows with explicit paths.
 
 Each job reads its input, runs the operators and writes every result with the sinks; nothing is
-printed and nothing is collected. An intermediate that feeds several outputs is materialized once
-(checkpoint directory), so the corpus is scanned and parsed once per job.
+printed and nothing is collected. An intermediate that feeds several outputs is materialized once:
+an output that later outputs derive from is written and read back (one write is both the result
+and the lineage cut); other intermediates go to the checkpoint directory. The corpus is scanned
+and parsed once per job (twice for similarity: IDF fit and vector transform).
 
     load_books_job      book files -> books Parquet (file_name, text)
     metadata_job        books -> metadata Parquet, per-year / language CSVs, encoding and
@@ -34,6 +36,13 @@ def _out(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 
 
+def _persist_output(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Write a job output and continue from the written table: one write serves as both the
+    result and the lineage cut for the outputs derived from it."""
+    sinks.write_parquet(df, path)
+    return spark.read.parquet(path)
+
+
 def load_books_job(spark: SparkSession, books_dir: str, output_path: str) -> DataFrame:
     """Read every ``*.txt`` under ``books_dir`` and write ``(file_name, text)`` as Parquet."""
     df = books.read_book_files(spark, books_dir)
@@ -43,11 +52,11 @@ def load_books_job(spark: SparkSession, books_dir: str, output_path: str) -> Dat
 
 def metadata_job(spark: SparkSession, books_path: str, out_dir: str,
                  top_authors: int = fv.TOP_AUTHORS_LIMIT) -> dict[str, str]:
-    meta = materialize(mo.extract_metadata(spark.read.parquet(books_path)))
     paths = {k: _out(out_dir, k) for k in (
         "metadata_extracted", "temporal_distribution", "language_statistics",
         "encoding_distribution", "top_authors", "summary")}
-    sinks.write_parquet(meta, paths["metadata_extracted"])
+    meta = _persist_output(spark, mo.extract_metadata(spark.read.parquet(books_path)),
+                           paths["metadata_extracted"])
     sinks.write_csv(mo.books_per_year(meta), paths["temporal_distribution"], sort_by=["year"])
     lang = mo.language_distribution(meta)
     sinks.write_csv(lang, paths["language_statistics"])
@@ -76,11 +85,10 @@ def similarity_job(spark: SparkSession, books_path: str, out_dir: str,
                         paths["tfidf_vectors"])
     weights = tfidf.weights_from_vectors(spark.read.parquet(paths["tfidf_vectors"]), key)
     tgt = target if target is not None else docs.agg(F.min(key)).first()[0]
-    sims = materialize(sim.cosine_to_target(weights, docs, tgt, key=key, feature="bucket",
-                                            weight="weight"))
-    sinks.write_parquet(sims, paths["similarities"])
-    top = materialize(sim.top_similar(sims, top_k, key=key))
-    sinks.write_parquet(top, paths["top_similar"])
+    sims = _persist_output(spark, sim.cosine_to_target(weights, docs, tgt, key=key,
+                                                       feature="bucket", weight="weight"),
+                           paths["similarities"])
+    top = _persist_output(spark, sim.top_similar(sims, top_k, key=key), paths["top_similar"])
     sinks.write_parquet(reports.similarity_summary(docs, top, tgt, num_features, key=key),
                         paths["summary"])
     return paths
@@ -89,13 +97,12 @@ def similarity_job(spark: SparkSession, books_path: str, out_dir: str,
 def network_job(spark: SparkSession, books_path: str, out_dir: str,
                 window: int = fv.TIME_WINDOW, top: int = fv.TOP_K,
                 key: str = "file_name") -> dict[str, str]:
-    ay = materialize(inf.author_years(spark.read.parquet(books_path), key=key))
-    edges = materialize(inf.influence_edges(ay, window))
-    degrees = materialize(inf.author_degrees(ay, edges))
     paths = {k: _out(out_dir, k) for k in (
         "influence_network", "author_metrics", "top_influential", "top_influenced", "summary")}
-    sinks.write_parquet(edges, paths["influence_network"])
-    sinks.write_parquet(degrees, paths["author_metrics"])
+    ay = materialize(inf.author_years(spark.read.parquet(books_path), key=key))
+    # the edge list (up to quadratic in authors) is written once and read back for the degrees
+    edges = _persist_output(spark, inf.influence_edges(ay, window), paths["influence_network"])
+    degrees = _persist_output(spark, inf.author_degrees(ay, edges), paths["author_metrics"])
     sinks.write_parquet(inf.top_influential(degrees, top), paths["top_influential"])
     sinks.write_parquet(inf.top_influenced(degrees, top), paths["top_influenced"])
     sinks.write_parquet(reports.network_summary(ay, edges, degrees, window), paths["summary"])
