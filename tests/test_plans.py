@@ -76,3 +76,14 @@ def test_header_regexes_are_not_evaluated_in_filters(spark, sf_smoke):
         plan = _executed(QUERIES[name](spark, sf_smoke))
         filters = [ln for ln in plan.splitlines() if "Filter" in ln]
         assert filters and not any("regexp_extract" in ln for ln in filters), name
+
+
+def test_band_join_runs_once_per_network_query(spark, sf_smoke):
+    import re
+
+    for name in ("author_degrees", "network_summary"):
+        plan = _executed(QUERIES[name](spark, sf_smoke))
+        # the pair join is the one keyed on (k, salt); initial and final plans print the same
+        # attribute ids, so distinct key signatures count distinct joins
+        pair_joins = set(re.findall(r"Join \[k#(\d+)L, salt#(\d+)L\]", plan))
+        assert len(pair_joins) == 1, (name, pair_joins)
