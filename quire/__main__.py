@@ -17,7 +17,7 @@ import json
 from pyspark.sql import SparkSession
 
 from quire.plans import jobs
-from quire.session import DEFAULT_CONF, ensure_checkpoint_dir
+from quire.session import DEFAULT_CONF
 
 
 def main(argv=None) -> None:
@@ -39,7 +39,6 @@ def main(argv=None) -> None:
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
     try:
         if a.job == "load":
             jobs.load_books_job(spark, a.input, a.output)

@@ -5,7 +5,7 @@ Library functions never build a session; these helpers exist for entry points on
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,9 +19,6 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # checkpoints written by materialize() are removed once their DataFrame is garbage-collected,
-    # so repeated jobs do not pile files up in the shared checkpoint folder
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -39,36 +36,32 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, setting a scratch one only when none is set.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share, for intermediate tables.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is; the local
-    fallback is for tests and single-machine runs only.
+    It is ``spark.checkpoint.dir`` as the session names it. Only where that is unset (tests, a
+    laptop) a folder of the SQL warehouse is used: Spark itself requires the warehouse to be
+    readable and writable by every executor, so this is never a machine-local temporary folder.
     """
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return spark.sparkContext.getCheckpointDir() or configured
-    if not spark.sparkContext.master.startswith("local"):
-        # a machine-local folder would not survive the loss of the executor that wrote it
-        raise RuntimeError("spark.checkpoint.dir is not set: point it at a shared folder")
-    local = tempfile.mkdtemp(prefix="quire-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return (base or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage: write ``df`` through ``Dataset.checkpoint`` into the checkpoint directory.
+def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+    """Cut lineage: write ``df`` as Parquet in the shared folder and read it back.
 
-    Later stages read the checkpoint instead of recomputing the chain (a lost executor costs a
-    re-read), and Catalyst cannot push filters on expensive expressions below this point.
+    Later stages re-read the table instead of recomputing the chain (a lost executor costs a
+    re-read), with column pruning and the statistics of a real scan; Catalyst cannot push filters
+    on expensive expressions below this point. The files go when the JVM ends.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/quire-tables/{label}-{uuid.uuid4().hex}"
+    schema = df.schema
+    df.write.parquet(path)
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return spark.read.schema(schema).parquet(path)

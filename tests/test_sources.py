@@ -5,6 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from quire.operators.metadata import extract_metadata
+from quire.session import materialize, shared_folder
 from quire.sources import books, sinks, tables
 
 
@@ -77,10 +78,11 @@ def test_parquet_and_csv_round_trip(spark, tmp_path, sf_smoke):
     assert [int(x.split(",")[0]) for x in lines] == [0, 1, 2]
 
 
-def test_checkpoint_table(spark, sf_smoke):
+def test_materialize_writes_parquet_to_the_shared_folder(spark, sf_smoke):
     docs = tables.documents(spark, sf_smoke).select("doc_id")
-    back = sinks.checkpoint_table(docs, spark, "test_checkpoint_table")
+    back = materialize(docs, "docs")
     assert back.count() == docs.count()
+    assert back.inputFiles()[0].startswith(f"file:{shared_folder(spark).removeprefix('file:')}")
 
 
 def test_headed_view_has_headers(spark, sf_smoke):
