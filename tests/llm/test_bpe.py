@@ -1,0 +1,78 @@
+"""Operator 8 against the tokenizers library, and edge rows."""
+
+import hashlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from quire.llm import bpe
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return bpe.WordBpe(bpe.vocabulary())
+
+
+def same(library, codec, text):
+    expected = library.encode(text, add_special_tokens=False).ids
+    got = codec.encode(text)
+    assert got.tolist() == expected
+    assert codec.decode(got) == library.decode(expected, skip_special_tokens=False)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(st.text(max_size=40), st.text("einrsthado' .,!", max_size=40),
+                 st.text("éèàüßñ aeinst", max_size=40)))
+def test_any_text(library, codec, text):
+    same(library, codec, text)
+
+
+@pytest.mark.parametrize("text", [
+    "", " ", "a" * 5000, "<|endoftext|>x<|startoftext|>", "ΑΣ ΟΔΟΣ", "İstanbul", "日本語", "👍🏽",
+    "I'LL don't 12.5", "\x00\x1c\x85a　b", "<| not special |>"])
+def test_edge_texts(library, codec, text):
+    same(library, codec, text)
+
+
+def test_every_token_is_its_own_encoding(codec):
+    assert all(codec.encode_word(word) == [number] for word, number in codec.ids.items())
+
+
+def test_table(rows, library):
+    texts = ["Hello there", None, "", "Hello there", "x " * 30000, "naïve — 北京"]
+    data = [(i if i != 4 else None, t, "zz", 7) for i, t in enumerate(texts)]
+    docs = rows(data, "doc_id long, text string, ids string, n_tokens int")
+    out = {(r.doc_id): r for r in bpe.bpe_digests(docs).collect()}
+    assert len(out) == len(texts)
+    for key, text, *_ in data:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        decoded = library.decode(ids, skip_special_tokens=False)
+        assert out[key].n_tokens == len(ids)
+        assert out[key].ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert out[key].decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
+    both = bpe.bpe_decode(bpe.bpe_encode(docs), text="back").collect()
+    for r in both:
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        assert r.ids == ids and r.back == library.decode(ids, skip_special_tokens=False)
+        assert r.n_tokens == 7  # a column of that name is kept as it is
+
+
+def test_empty_table(rows):
+    assert bpe.bpe_digests(rows([], "doc_id long, text string")).count() == 0
+
+
+def test_compatibility_is_remembered(codec):
+    a, b = codec.ids["t"], codec.ids["h"]
+    assert codec.fits(a, b) is False and codec.compatible[a, b] is False
+    assert np.array_equal(codec.encode("the"), [codec.ids["th" + chr(ord("e") + bpe.END)]])
