@@ -5,14 +5,36 @@ Each applies one operator with its production parameters to its whole table.
 
 from __future__ import annotations
 
-from quire.llm import bpe
-from quire.llm.common import documents
+from pyspark.sql import functions as F
+
+from quire.llm import bpe, language_id, mixing, quality
+from quire.llm.common import documents, fold
+from quire.sources.tables import read_table
+
+
+def op3_mix_sources(spark, sf_dir):
+    return mixing.mix_sources(documents(spark, sf_dir)).select(
+        "doc_id", "source", "mix_block", "mix_slot", "mix_position")
+
+
+def op4_quality_classifier(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    scored = quality.quality_scores(docs, read_table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id", (fold("doc_id") == 0).alias("held_out"), F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= quality.REJECT_BELOW).cast("int").alias("predicted"))
+
+
+def op5_language_id(spark, sf_dir):
+    found = language_id.identify(documents(spark, sf_dir))
+    return found.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "lang_pred", "score")
 
 
 def op8_bpe_encode_decode(spark, sf_dir):
     return bpe.bpe_digests(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op8_bpe_encode_decode,)}
+QUERIES = {f.__name__: f for f in (op3_mix_sources, op4_quality_classifier, op5_language_id,
+                                   op8_bpe_encode_decode)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_mix_sources": mixing.oracle()}
