@@ -26,7 +26,7 @@ from quire.llm.common import arrow_map, fold
 PIECE = 24
 TRAIN_ROWS, TRAIN_WORDS = 1600, 40
 EMBED, HIDDEN = 12, 16
-EPOCHS = 4
+EPOCHS, LEAST_STEPS = 4, 200
 MARK = 32
 CACHE_WORDS = 1_500_000
 _LETTER = re.compile(r"[A-Za-z]")
@@ -132,6 +132,7 @@ def train(words: list[bytes], labels: np.ndarray, n_languages: int, epochs: int
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in m.items()}
     by_size = np.argsort([len(w) for w in words], kind="stable")
     batches = [by_size[k:k + 256] for k in range(0, len(by_size), 256)]
+    epochs = max(epochs, -(-LEAST_STEPS // len(batches)))  # few words are read more often
     step = 0
     for epoch in range(epochs):
         for number in rng.permutation(len(batches)):
