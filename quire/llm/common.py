@@ -89,3 +89,64 @@ def sorted_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterato
 def texts_of(column) -> list[str]:
     """Python strings of an Arrow column, null as empty."""
     return [t if t is not None else "" for t in column.to_pylist()]
+
+
+_BYTE_KEYS = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, 9, 10, 11, 12, 13]] = True
+
+
+def mix64(x: np.ndarray) -> np.ndarray:
+    """Scrambles 64-bit values (a multiply and shift finaliser)."""
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def word_hashes(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, and the word range of each (one offset more).
+
+    Words are runs between ASCII white space, hashed as polynomials over their bytes: the whole
+    batch takes a few array passes, with no Python step per word.
+    """
+    parts = [(t.lower() if lower else t).encode("utf-8", "surrogatepass") + b" " for t in texts]
+    data = np.frombuffer(b"".join(parts), np.uint8)
+    ends = np.cumsum([len(p) for p in parts])
+    inside = ~_SPACE[data]
+    begin = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
+    if not len(begin):
+        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+    at = np.flatnonzero(inside)
+    word = np.cumsum(np.concatenate([[False], np.diff(at) > 1]))
+    place = at - begin[word]
+    powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(int(place.max()), _BASE)]), dtype=np.uint64)
+    value = _BYTE_KEYS[data[at]] * powers[place]
+    first = np.flatnonzero(np.concatenate([[True], np.diff(at) > 1]))
+    hashes = mix64(np.add.reduceat(value, first))
+    return hashes, np.concatenate([[0], np.searchsorted(begin, ends)])
+
+
+def shingle_sets(texts: list[str], words: int = 5) -> list[np.ndarray]:
+    """Sorted distinct 64-bit hashes of the word shingles of each text.
+
+    A text of fewer words than a shingle has one shingle of all its words, a text without words
+    none.
+    """
+    hashes, offset = word_hashes(texts)
+    out = []
+    total = len(hashes)
+    rolled = np.zeros(max(0, total - words + 1), np.uint64)
+    for k in range(words):
+        rolled += mix64(hashes[k:total - words + 1 + k] + np.uint64(k + 1)) if total >= words else 0
+    rolled = mix64(rolled)
+    for i in range(len(texts)):
+        a, b = int(offset[i]), int(offset[i + 1])
+        if b - a >= words:
+            out.append(np.unique(rolled[a:b - words + 1]))
+        elif b > a:
+            few = mix64(hashes[a:b] + np.arange(1, b - a + 1, dtype=np.uint64)).sum(dtype=np.uint64)
+            out.append(mix64(np.array([few + np.uint64(b - a)])))
+        else:
+            out.append(np.zeros(0, np.uint64))
+    return out

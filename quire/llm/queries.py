@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, language_id, mixing, quality
+from quire.llm import bpe, jaccard_join, language_id, mixing, quality
 from quire.llm.common import documents, fold
 from quire.sources.tables import read_table
 
@@ -34,7 +34,12 @@ def op8_bpe_encode_decode(spark, sf_dir):
     return bpe.bpe_digests(documents(spark, sf_dir))
 
 
+def op9_jaccard_join(spark, sf_dir):
+    found = jaccard_join.near_duplicate_classes(documents(spark, sf_dir))
+    return found.select(F.col("key").alias("doc_id"), "class_id", "copy_id", "n_links", "kept")
+
+
 QUERIES = {f.__name__: f for f in (op3_mix_sources, op4_quality_classifier, op5_language_id,
-                                   op8_bpe_encode_decode)}
+                                   op8_bpe_encode_decode, op9_jaccard_join)}
 
 ORACLES: dict[str, str] = {"op3_mix_sources": mixing.oracle()}

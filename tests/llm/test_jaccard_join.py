@@ -1,0 +1,129 @@
+"""Operator 9 and the components under it, against brute force."""
+
+import random
+from collections import defaultdict
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from quire.llm import components, jaccard_join as jj
+from quire.llm.common import shingle_sets, word_hashes
+
+SCHEMA = "doc_id long, text string, class_id string, rid int"
+
+
+def plain_shingles(text, k=5):
+    w = (text or "").lower().split()
+    return {tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
+
+
+def brute(data, threshold=Fraction(4, 5)):
+    sets = [plain_shingles(t) for _, t in data]
+    n = len(data)
+    links, root = [0] * n, list(range(n))
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for i in range(n):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            union = len(sets[i] | sets[j])
+            if union and Fraction(common, union) >= threshold:
+                links[i] += 1
+                links[j] += 1
+                root[find(i)] = find(j)
+    groups = defaultdict(list)
+    for i in range(n):
+        groups[find(i)].append(i)
+    lowest = {i: min((data[m][0] for m in members if data[m][0] is not None), default=None)
+              for members in groups.values() for i in members}
+    return links, lowest, groups
+
+
+def corpus(seed=1):
+    rng = random.Random(seed)
+    vocab = [f"w{i}" for i in range(400)]
+    data = []
+    for _ in range(40):
+        base = [rng.choice(vocab) for _ in range(rng.randint(1, 120))]
+        data.append(base)
+        for _ in range(rng.choice([0, 0, 1, 4, 12])):
+            copy = list(base)
+            for _ in range(rng.randint(0, 3)):
+                copy[rng.randrange(len(copy))] = rng.choice(vocab)
+            data.append(copy)
+    return [(i, " ".join(w)) for i, w in enumerate(data)]
+
+
+def test_against_brute_force_with_edge_rows(rows):
+    data = corpus() + [(1000, None), (1001, ""), (1002, "  \n"), (None, "w1 w2 w3"), (1003, "W1 w2  w3"),
+                       (1004, "w1 w2 w3"), (1004, "w1 w2 w3"), (1005, "x " * 60000)]
+    docs = rows([(k, t, "z", 3) for k, t in data], SCHEMA)
+    out = jj.near_duplicate_classes(docs).collect()
+    assert len(out) == len(data)
+    links, lowest, groups = brute(data)
+    import collections
+    expected = collections.Counter((data[i][0], lowest[i], links[i]) for i in range(len(data)))
+    assert collections.Counter((r.key, r.class_id, r.n_links) for r in out) == expected
+    kept = jj.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert kept.count() == len(groups)
+
+
+def test_blocks_of_a_group_see_every_pair(rows, monkeypatch):
+    monkeypatch.setattr(jj, "BLOCK", 7)
+    base = [f"w{i}" for i in range(100)]
+    data = [(i, " ".join(base[:i % 50] + [f"x{i}"] + base[i % 50:])) for i in range(60)]
+    out = jj.near_duplicate_classes(rows([(k, t, "", 0) for k, t in data], SCHEMA)).collect()
+    assert {r.n_links for r in out} == {59} and {r.class_id for r in out} == {0}
+    assert sum(r.kept for r in out) == 1
+
+
+def test_empty(rows):
+    empty = rows([], SCHEMA)
+    assert jj.near_duplicate_classes(empty).collect() == []
+    assert jj.drop_near_duplicates(empty).collect() == []
+
+
+def test_posterior_rule_matches_integration():
+    rule = jj.least_matches(0.8, 1e-4, 32, 128)
+    s = np.linspace(0, 1, 200001)
+    for n, m in rule:
+        def posterior(k):
+            f = s**k * (1 - s)**(n - k)
+            return f[s >= 0.8].sum() / f.sum()
+        assert posterior(m) >= 1e-4 > posterior(m - 1)
+
+
+def test_hashes_are_of_words_wherever_they_stand():
+    h, at = word_hashes(["a bc  d", "", "bc\na", "É é"])
+    assert at.tolist() == [0, 3, 3, 5, 7]
+    assert h[0] == h[4] and h[1] == h[3] and h[5] == h[6] and len(set(h.tolist())) == 4
+    sets = shingle_sets(["a b c d e f", "b c d e f", "a b", "a  b", "b a", ""])
+    assert [len(s) for s in sets] == [2, 1, 1, 1, 1, 0]
+    assert sets[1][0] in sets[0] and sets[2] == sets[3] and sets[2] != sets[4]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_components(spark, seed):
+    rng = random.Random(seed)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)]
+    edges += [(1000 + i, 1001 + i) for i in range(40)] + [(5, 5), (None, 3), (7, None)]
+    root = {}
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+    for a, b in edges:
+        if a is not None and b is not None and a != b:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    got = {r.node: r.component for r in components.connected_components(
+        spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: find(x) for x in root}
+
+
+def test_components_of_nothing(spark):
+    assert components.connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
