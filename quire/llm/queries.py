@@ -7,11 +7,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, jaccard_join, language_id, mixing, quality
+from quire.llm import bpe, jaccard_join, language_id, mixing, quality, substring_dedup
 from quire.llm.common import documents, fold
 from quire.sources.tables import read_table
 
 
+def op1_substring_dedup(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    gone = F.expr("aggregate(removed_spans, 0L, (n, s) -> n + s.end - s.start)")
+    return substring_dedup.substring_dedup(docs).select(
+        "doc_id", "text", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"),
+        gone.alias("removed_chars"), "removed_spans")
+
+
 def op3_mix_sources(spark, sf_dir):
     return mixing.mix_sources(documents(spark, sf_dir)).select(
         "doc_id", "source", "mix_block", "mix_slot", "mix_position")
@@ -39,7 +47,7 @@ def op9_jaccard_join(spark, sf_dir):
     return found.select(F.col("key").alias("doc_id"), "class_id", "copy_id", "n_links", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op3_mix_sources, op4_quality_classifier, op5_language_id,
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_mix_sources, op4_quality_classifier, op5_language_id,
                                    op8_bpe_encode_decode, op9_jaccard_join)}
 
 ORACLES: dict[str, str] = {"op3_mix_sources": mixing.oracle()}
