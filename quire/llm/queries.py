@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, jaccard_join, language_id, mixing, quality, substring_dedup
+from quire.llm import bpe, html_extract, jaccard_join, language_id, mixing, quality, substring_dedup
 from quire.llm.common import documents, fold
 from quire.sources.tables import read_table
 
@@ -38,6 +38,10 @@ def op5_language_id(spark, sf_dir):
     return found.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op7_html_extract(spark, sf_dir):
+    return html_extract.extract_main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op8_bpe_encode_decode(spark, sf_dir):
     return bpe.bpe_digests(documents(spark, sf_dir))
 
@@ -48,6 +52,6 @@ def op9_jaccard_join(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_mix_sources, op4_quality_classifier, op5_language_id,
-                                   op8_bpe_encode_decode, op9_jaccard_join)}
+                                   op7_html_extract, op8_bpe_encode_decode, op9_jaccard_join)}
 
 ORACLES: dict[str, str] = {"op3_mix_sources": mixing.oracle()}
