@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, html_extract, jaccard_join, language_id, mixing, quality, substring_dedup
+from quire.llm import bpe, hash_forest, hnsw, html_extract, jaccard_join, language_id, mixing, quality, substring_dedup
 from quire.llm.common import documents, fold
 from quire.sources.tables import read_table
 
@@ -38,6 +38,11 @@ def op5_language_id(spark, sf_dir):
     return found.select("doc_id", (fold("doc_id") == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op6_hash_prefix_forest(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "embeddings")
+    return hash_forest.nearest_neighbours(rows, rows.filter("vec_id % 50 = 0"))
+
+
 def op7_html_extract(spark, sf_dir):
     return html_extract.extract_main_text(read_table(spark, sf_dir, "pages"))
 
@@ -51,7 +56,12 @@ def op9_jaccard_join(spark, sf_dir):
     return found.select(F.col("key").alias("doc_id"), "class_id", "copy_id", "n_links", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_mix_sources, op4_quality_classifier, op5_language_id,
-                                   op7_html_extract, op8_bpe_encode_decode, op9_jaccard_join)}
+def op10_hnsw_near_dedup(spark, sf_dir):
+    return hnsw.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_substring_dedup, op3_mix_sources, op4_quality_classifier, op5_language_id, op6_hash_prefix_forest,
+    op7_html_extract, op8_bpe_encode_decode, op9_jaccard_join, op10_hnsw_near_dedup)}
 
 ORACLES: dict[str, str] = {"op3_mix_sources": mixing.oracle()}
