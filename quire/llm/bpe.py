@@ -21,6 +21,7 @@ from collections import OrderedDict
 
 import ahocorasick
 import numpy as np
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -252,8 +253,12 @@ def bpe_encode(docs: DataFrame, text: str = "text", ids: str = "ids",
 def bpe_decode(docs: DataFrame, ids: str = "ids", text: str = "text",
                tokenizer: str = "word_bpe_49k.json") -> DataFrame:
     """``docs`` with the text of the token ids (null ids: empty) in column ``text``."""
-    return _with(docs, ids, text, "string", tokenizer, lambda codec, column: [
-        codec.decode(np.asarray(x, np.int64)) if x else "" for x in column.to_pylist()])
+    def decode(codec, column):
+        values = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))
+        return [codec.decode(values[a:b]) for a, b in zip([0, *ends.tolist()], ends.tolist())]
+
+    return _with(docs, ids, text, "string", tokenizer, decode)
 
 
 def _with(docs, source, target, kind, tokenizer, function):

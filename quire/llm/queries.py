@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, hash_forest, hnsw, html_extract, jaccard_join, language_id, mixing, quality, substring_dedup
+from quire.llm import bpe, hash_forest, hnsw, html_extract, jaccard_join, language_id, lm_scoring, mixing, quality, substring_dedup
 from quire.llm.common import documents, fold
 from quire.sources.tables import read_table
 
@@ -20,6 +20,10 @@ def op1_substring_dedup(spark, sf_dir):
         gone.alias("removed_chars"), "removed_spans")
 
 
+def op2_lm_scoring(spark, sf_dir):
+    return lm_scoring.lm_scores(documents(spark, sf_dir))
+
+
 def op3_mix_sources(spark, sf_dir):
     return mixing.mix_sources(documents(spark, sf_dir)).select(
         "doc_id", "source", "mix_block", "mix_slot", "mix_position")
@@ -61,7 +65,7 @@ def op10_hnsw_near_dedup(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_substring_dedup, op3_mix_sources, op4_quality_classifier, op5_language_id, op6_hash_prefix_forest,
-    op7_html_extract, op8_bpe_encode_decode, op9_jaccard_join, op10_hnsw_near_dedup)}
+    op1_substring_dedup, op2_lm_scoring, op3_mix_sources, op4_quality_classifier, op5_language_id,
+    op6_hash_prefix_forest, op7_html_extract, op8_bpe_encode_decode, op9_jaccard_join, op10_hnsw_near_dedup)}
 
 ORACLES: dict[str, str] = {"op3_mix_sources": mixing.oracle()}
