@@ -40,9 +40,9 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and the digest of what they decode to."""
-    both = bpe.bpe_decode(bpe.bpe_encode(docs.select("doc_id", "lang", "source", "text")), text="decoded")
+    both = bpe.bpe_encode_decode(docs.select("doc_id", "lang", "source", "text"))
     return both.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-                       F.sha2("decoded", 256).alias("decoded_sha256"))
+                       "decoded_sha256")
 
 
 STAGES = [

@@ -15,6 +15,7 @@ rows, null keys and further columns do not matter.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import unicodedata
 from collections import OrderedDict
@@ -92,7 +93,7 @@ class WordBpe:
                     break
         self.compatible: dict[tuple[int, int], bool] = {}
         self.symbols = [[self.ids[chr(b)], self.ids[chr(b + END)]] for b in range(256)]
-        self.words: OrderedDict[str, np.ndarray] = OrderedDict()
+        self.words: OrderedDict[str, bytes] = OrderedDict()
         # special tokens: found in the raw text before anything else
         self.special = {t["content"]: t["id"] for t in definition["added_tokens"]}
         for text, number in self.special.items():
@@ -171,12 +172,13 @@ class WordBpe:
                 position -= self.length[token]
         return out
 
-    def _word_ids(self, piece: str) -> np.ndarray:
+    def _word_ids(self, piece: str) -> bytes:
+        """Ids of a word as the bytes of 32-bit numbers, the smallest form to keep."""
         known = self.words.get(piece)
         if known is None:
             data = piece.encode()
             word = data[:-1].decode("latin-1") + chr(data[-1] + END)
-            known = self.words[piece] = np.array(self.encode_word(word), np.int32)
+            known = self.words[piece] = np.array(self.encode_word(word), np.int32).tobytes()
             if len(self.words) > CACHE_WORDS:
                 self.words.popitem(last=False)
         return known
@@ -193,18 +195,18 @@ class WordBpe:
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text, as the library encodes it without adding special tokens."""
-        parts: list[np.ndarray] = []
+        parts: list[bytes] = []
         start = 0
         if self.at_special is not None and "<|" in text:
             for found in self.at_special.finditer(text):
                 parts += map(self._word_ids, self.pieces_of(text[start:found.start()]))
-                parts.append(np.array([self.special[found.group()]], np.int32))
+                parts.append(np.int32(self.special[found.group()]).tobytes())
                 start = found.end()
         get = self.words.get
         for piece in self.pieces_of(text[start:] if start else text):
             ids = get(piece)
             parts.append(ids if ids is not None else self._word_ids(piece))
-        return np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        return np.frombuffer(b"".join(parts), np.int32)
 
     # -- decoding ------------------------------------------------------------------------------
 
@@ -275,14 +277,31 @@ def _with(docs, source, target, kind, tokenizer, function):
     return arrow_map(docs, run, schema)
 
 
+def bpe_encode_decode(docs: DataFrame, text: str = "text", ids: str = "ids",
+                      decoded: str = "decoded_sha256", tokenizer: str = "word_bpe_49k.json") -> DataFrame:
+    """``docs`` with the token ids of ``text`` in column ``ids`` and the SHA-256 of the text they
+    decode to in column ``decoded``, in one pass: a task holds one copy of the tables."""
+    codec = _Lazy(docs.sparkSession.sparkContext.broadcast(vocabulary(tokenizer)))
+    kept = [f for f in docs.schema.fields if f.name not in (ids, decoded)]
+    places, at = [docs.columns.index(f.name) for f in kept], docs.columns.index(text)
+
+    def run(batch):
+        bpe = codec()
+        found = [bpe.encode(t) for t in texts_of(batch.column(at))]
+        return ({f.name: batch.column(i) for f, i in zip(kept, places)}
+                | {ids: found, decoded: [hashlib.sha256(bpe.decode(x).encode()).hexdigest() for x in found]})
+
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept]
+                       + [f"`{ids}` array<int>", f"`{decoded}` string"])
+    return arrow_map(docs, run, schema)
+
+
 def bpe_digests(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 tokenizer: str = "word_bpe_49k.json") -> DataFrame:
     """Per row: token count, and SHA-256 of the ids as text and of the decoded text.
 
     Encodes and decodes in one pass, so the ids of a large table need not be stored.
     """
-    import hashlib
-
     codec = _Lazy(docs.sparkSession.sparkContext.broadcast(vocabulary(tokenizer)))
 
     def run(batch):

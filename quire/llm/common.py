@@ -33,7 +33,7 @@ def row_hash(key: str, text: str) -> Column:
 def arrow_map(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` of a function on one record batch that returns a dict of columns.
 
-    Batches are cut to about four megabytes, so a batch of very long texts stays small.
+    Batches are cut to about a megabyte, so array passes over a batch of long texts stay small.
     """
     target = df.sparkSession.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -42,7 +42,7 @@ def arrow_map(df: DataFrame, function: Callable, schema: str) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            step = max(1, int(batch.num_rows * 4e6 / max(1, batch.nbytes)))
+            step = max(1, int(batch.num_rows * 1e6 / max(1, batch.nbytes)))
             for start in range(0, batch.num_rows, step):
                 out = function(batch.slice(start, step))
                 if out is not None:
@@ -133,6 +133,18 @@ def shingle_sets(texts: list[str], words: int = 5) -> list[np.ndarray]:
     A text of fewer words than a shingle has one shingle of all its words, a text without words
     none.
     """
+    out: list[np.ndarray] = []
+    start = 0
+    while start < len(texts):  # about a megabyte at a time
+        end, size = start + 1, len(texts[start])
+        while end < len(texts) and size + len(texts[end]) <= 1_000_000:
+            size, end = size + len(texts[end]), end + 1
+        out += _shingle_sets(texts[start:end], words)
+        start = end
+    return out
+
+
+def _shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
     hashes, offset = word_hashes(texts)
     out = []
     total = len(hashes)
