@@ -3,6 +3,7 @@
     python -m quire load       BOOKS_DIR OUT_PARQUET
     python -m quire metadata   BOOKS_PARQUET OUT_DIR
     python -m quire similarity BOOKS_PARQUET OUT_DIR [--num-books N] [--features F] [--top K]
+                               [--target FILE_NAME]
     python -m quire network    BOOKS_PARQUET OUT_DIR [--window W]
     python -m quire wordcount  INPUT OUTPUT_DIR
 
@@ -31,6 +32,7 @@ def main(argv=None) -> None:
             s.add_argument("--num-books", type=int, default=None)
             s.add_argument("--features", type=int, default=2000)
             s.add_argument("--top", type=int, default=5)
+            s.add_argument("--target", default=None)
         if name == "network":
             s.add_argument("--window", type=int, default=10)
     a = p.parse_args(argv)
@@ -47,7 +49,7 @@ def main(argv=None) -> None:
             result = jobs.metadata_job(spark, a.input, a.output)
         elif a.job == "similarity":
             result = jobs.similarity_job(spark, a.input, a.output, num_books=a.num_books,
-                                         num_features=a.features, top_k=a.top)
+                                         num_features=a.features, top_k=a.top, target=a.target)
         elif a.job == "network":
             result = jobs.network_job(spark, a.input, a.output, window=a.window)
         else:

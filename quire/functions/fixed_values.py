@@ -44,9 +44,19 @@ TOP_K = 5
 TIME_WINDOW = 10
 TOP_AUTHORS_LIMIT = 10
 REPORT_TOP = 5
+REPORT_YEARS = 20
 PREVIEW_ROWS = 20
+METADATA_PREVIEW_ROWS = 10
 HASH_SEED = 42
 
+# ---------------------------------------------------------------------------------------------
+# FIXED VALUES -- names of the job outputs.
+# ---------------------------------------------------------------------------------------------
+METADATA_OUTPUTS = ("metadata_extracted", "temporal_distribution", "language_statistics",
+                    "encoding_distribution", "top_authors", "summary")
+SIMILARITY_OUTPUTS = ("tfidf_vectors", "similarities", "top_similar", "summary")
+NETWORK_OUTPUTS = ("influence_network", "author_metrics", "top_influential", "top_influenced", "summary")
+
 # ---------------------------------------------------------------------------------------------
 # FIXED VALUES -- Spark's default English stop-word list (pyspark.ml.feature.StopWordsRemover,
 # loadDefaultStopWords("english")), 181 words, in Spark's order. Embedded so that the oracle

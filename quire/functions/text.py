@@ -21,13 +21,15 @@ def clean_text(text: str | Column = "text") -> Column:
 
 
 def tokens(clean: str | Column) -> Column:
-    """``pyspark.ml.feature.Tokenizer`` semantics with built-in expressions (codegen, no UDF).
+    """``pyspark.ml.feature.Tokenizer`` semantics with built-in expressions (codegen, no UDF), for
+    text that :func:`clean_text` has lower-cased.
 
-    Lower-case, split on *single* whitespace, drop trailing empty strings (Java ``split``):
+    Split on *single* whitespace, drop trailing empty strings (Java ``split``):
     ``""`` gives ``[""]``, a whitespace-only text gives ``[]``, inner/leading empties are kept.
     """
-    c = F.lower(_col(clean))
-    trimmed = F.regexp_replace(c, r"\s+\z", "")
+    c = _col(clean)
+    # a character trim is linear; an anchored \s+ rescans every inner run of white space
+    trimmed = F.rtrim(c, F.lit(" \t\n\x0b\f\r"))
     return (F.when((trimmed == F.lit("")) & (c != F.lit("")), F.array().cast("array<string>"))
             .otherwise(F.split(trimmed, r"\s")))
 
@@ -84,11 +86,6 @@ def word_pieces(text: str | Column = "text") -> Column:
     return F.split(_col(text), fv.WORD_DELIMITERS)
 
 
-def words(text: str | Column = "text") -> Column:
-    """Word-count tokens as an array, empties dropped."""
-    return F.filter(word_pieces(text), lambda w: w != F.lit(""))
-
-
 def assemble_lines(text: str | Column = "text") -> Column:
     """Drop exactly-empty lines and re-join the rest with ``\\n`` (no trailing newline).
 
@@ -104,12 +101,6 @@ def assemble_lines(text: str | Column = "text") -> Column:
     return F.regexp_replace(collapsed, r"^\n|\n\z", "")
 
 
-def assemble_lines_by_split(text: str | Column = "text") -> Column:
-    """The literal form of :func:`assemble_lines` (split, filter, join); kept for tests."""
-    lines = F.split(_col(text), fv.LINE_BREAK_PATTERN)
-    return F.array_join(F.filter(lines, lambda x: x != F.lit("")), "\n")
-
-
 def inject_blank_lines(text: str | Column = "text") -> Column:
     """Test helper for line assembly: a blank line before the text and after every line."""
     nl = F.lit("\n")

@@ -1,8 +1,7 @@
 """DataFrame -> DataFrame operators."""
 
 from quire.operators.influence import (
-    author_degrees, author_years, influence_edges, naive_influence_edges, top_influenced,
-    top_influential,
+    author_degrees, author_years, influence_edges, top_influenced, top_influential,
 )
 from quire.operators.metadata import (
     books_per_year, completeness_stats, encoding_distribution, extract_metadata,
@@ -17,8 +16,7 @@ from quire.operators.topk import top_k
 from quire.operators.wordcount import word_count
 
 __all__ = [
-    "author_degrees", "author_years", "influence_edges", "naive_influence_edges",
-    "top_influenced", "top_influential",
+    "author_degrees", "author_years", "influence_edges", "top_influenced", "top_influential",
     "books_per_year", "completeness_stats", "encoding_distribution", "extract_metadata",
     "language_distribution", "top_authors", "value_counts",
     "cosine_to_target", "top_similar",

@@ -7,9 +7,8 @@ the target: a single shuffle of the weight table, no collect, no pairwise loop.
 scored -- a document sharing no feature with the target, or with no features at all, gets 0.0 --
 and only the target itself is excluded, so the result has N - 1 rows.
 
-The broadcast target side is bounded: for hashed weights by ``num_features``; for exact terms by the
-distinct terms of one document, which is checked against ``max_broadcast_rows`` before the hint
-(beyond it a shuffled join is used instead).
+``broadcast_target`` is for targets of a bounded size (hashed weights: at most ``num_features`` rows);
+otherwise Spark chooses by the measured bytes. Documents without a key are scored like others.
 """
 
 from __future__ import annotations
@@ -20,17 +19,9 @@ from pyspark.sql import functions as F
 from quire.functions import fixed_values as fv
 from quire.operators.topk import top_k
 
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def default_target(keys: DataFrame, key: str) -> Column:
-    """The smallest key, as a scalar subquery."""
-    return keys.select(F.min(key)).scalar()
-
-
 def cosine_to_target(weights: DataFrame, keys: DataFrame, target, key: str = "doc_id",
                      feature: str = "term", weight: str = "tfidf",
-                     broadcast_target: bool = True, digits: int = 6) -> DataFrame:
+                     broadcast_target: bool = False, digits: int = 6) -> DataFrame:
     """``(key, similarity double)`` for every key of ``keys`` except ``target``.
 
     ``target`` is a key value or a Column (e.g. a scalar subquery). Similarity is
@@ -45,14 +36,16 @@ def cosine_to_target(weights: DataFrame, keys: DataFrame, target, key: str = "do
               .agg(F.sqrt(F.sum(w * w)).alias("_norm"), F.sum(w * F.col("_tw")).alias("_dot")))
     denom = F.col("_norm") * tnorm
     sim = F.when(denom > F.lit(0.0), F.col("_dot") / denom)
+    # Null keys stay (no null equals the target) and meet their scores null-safely.
     # The target is removed with an anti join against its own key (distinct: exactly one row,
     # whatever the key's multiplicity). A plain `key != target` filter would be inferred through
     # the outer join into the scoring branch, make it differ from the IDF branch, and cost a
     # second pass over the corpus instead of a reused shuffle.
     target_key = keys.select(key).filter(F.col(key) == tgt).distinct()
-    others = keys.select(key).join(F.broadcast(target_key), key, "left_anti")
-    return (others.join(scored, key, "left")
-            .select(key, F.round(F.coalesce(sim, F.lit(0.0)), digits).alias("similarity")))
+    others = keys.select(F.col(key).alias("_key")).join(
+        F.broadcast(target_key), F.col("_key") == F.col(key), "left_anti")
+    return (others.join(scored, F.col("_key").eqNullSafe(F.col(key)), "left")
+            .select(F.col("_key").alias(key), F.round(F.coalesce(sim, F.lit(0.0)), digits).alias("similarity")))
 
 
 def top_similar(similarities: DataFrame, k: int = fv.TOP_K, key: str = "doc_id") -> DataFrame:

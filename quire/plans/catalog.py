@@ -4,12 +4,10 @@ Each query reads the whole ``documents`` table (or the headed view derived from
 operators; none collects data. Some run small eager jobs while the plan is built, each returning
 one scalar or writing a checkpoint:
 
-* similarity: the default target key (``min(doc_id)``, a key-only scan) and, for exact terms, the
-  size check of the target's term set that decides whether it may be broadcast;
+* similarity: the default target key (``min(doc_id)``, a key-only scan);
 * preview/subset: the n-th smallest key (key-only scan), used as a literal cutoff;
-* influence network: the checkpoint of the distinct author-years and the bucket count checked
-  before the salt table is broadcast;
-* metadata report: the checkpoint of the per-book metadata its three aggregates share.
+* influence network: the table of authors with their year sets, written once;
+* metadata report: the table of per-book metadata its aggregates share.
 """
 
 from __future__ import annotations
@@ -42,11 +40,8 @@ def _metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mo.extract_metadata(tables.headed_documents(spark, sf_dir), key=KEY)
 
 
-def _network(spark: SparkSession, sf_dir: str, window: int = fv.TIME_WINDOW):
-    # author-years feed both join sides and the zero-degree rows: parse the corpus once
-    ay = materialize(inf.author_years(tables.headed_documents(spark, sf_dir), key=KEY))
-    edges = inf.influence_edges(ay, window)
-    return ay, edges, inf.author_degrees(ay, edges)
+def _author_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inf.author_years(tables.headed_documents(spark, sf_dir), key=KEY)
 
 
 def resolve_target(docs: DataFrame, target=None, key: str = KEY):
@@ -56,17 +51,6 @@ def resolve_target(docs: DataFrame, target=None, key: str = KEY):
     return docs.agg(F.min(key)).first()[0]
 
 
-def target_is_broadcastable(docs: DataFrame, target, key: str = KEY, text: str = "text",
-                            max_rows: int = sim.MAX_BROADCAST_ROWS) -> bool:
-    """Size check before broadcasting one document's exact-term vector.
-
-    Counts the target's distinct terms from that document alone (the key filter reaches the
-    Parquet scan), so the check costs one document, not the corpus.
-    """
-    one = docs.filter(F.col(key) == F.lit(target))
-    return terms.term_frequencies(one, key, text).count() <= max_rows
-
-
 # ---- sources -----------------------------------------------------------------------------------
 
 def assemble_lines(spark, sf_dir):
@@ -89,6 +73,10 @@ def extract_metadata(spark, sf_dir):
     return _metadata(spark, sf_dir)
 
 
+def preview_metadata(spark, sf_dir, n: int = fv.METADATA_PREVIEW_ROWS):
+    return mo.extract_metadata(books.preview(tables.headed_documents(spark, sf_dir), n, key=KEY), key=KEY)
+
+
 def metadata_stats(spark, sf_dir):
     return mo.completeness_stats(_metadata(spark, sf_dir))
 
@@ -124,28 +112,28 @@ def word_count(spark, sf_dir):
 # ---- influence network --------------------------------------------------------------------
 
 def author_years(spark, sf_dir):
-    return inf.author_years(tables.headed_documents(spark, sf_dir), key=KEY)
+    return _author_years(spark, sf_dir)
 
 
 def influence_edges(spark, sf_dir, window: int = fv.TIME_WINDOW):
-    return _network(spark, sf_dir, window)[1]
+    return inf.influence_edges(_author_years(spark, sf_dir), window)
 
 
 def author_degrees(spark, sf_dir, window: int = fv.TIME_WINDOW):
-    return _network(spark, sf_dir, window)[2]
+    return inf.author_degrees(_author_years(spark, sf_dir), window)
 
 
 def top_influential(spark, sf_dir, k: int = fv.TOP_K):
-    return inf.top_influential(_network(spark, sf_dir)[2], k)
+    return inf.top_influential(author_degrees(spark, sf_dir), k)
 
 
 def top_influenced(spark, sf_dir, k: int = fv.TOP_K):
-    return inf.top_influenced(_network(spark, sf_dir)[2], k)
+    return inf.top_influenced(author_degrees(spark, sf_dir), k)
 
 
 def network_summary(spark, sf_dir, window: int = fv.TIME_WINDOW):
-    ay, edges, degrees = _network(spark, sf_dir, window)
-    return reports.network_summary(ay, edges, degrees, window)
+    ay = materialize(_author_years(spark, sf_dir), "author-years")  # counted and joined
+    return reports.network_summary(ay, inf.author_degrees(ay, window), window)
 
 
 # ---- text, TF-IDF, similarity --------------------------------------------------------------
@@ -168,8 +156,7 @@ def similar_documents(spark, sf_dir, target=None):
     docs = _docs(spark, sf_dir)
     tgt = resolve_target(docs, target)
     weights = tfidf.tfidf_terms(docs, KEY).select(KEY, "term", "tfidf")
-    return sim.cosine_to_target(weights, docs, tgt, key=KEY, feature="term", weight="tfidf",
-                                broadcast_target=target_is_broadcastable(docs, tgt))
+    return sim.cosine_to_target(weights, docs, tgt, key=KEY, feature="term", weight="tfidf")
 
 
 def similar_documents_topk(spark, sf_dir, target=None, k: int = fv.TOP_K):
@@ -190,11 +177,19 @@ def similar_documents_hashed(spark, sf_dir, target=None, num_features: int = fv.
                                 broadcast_target=True)
 
 
+def similarity_summary(spark, sf_dir, target=None, k: int = fv.TOP_K, num_features: int = fv.NUM_FEATURES):
+    docs = _docs(spark, sf_dir)
+    tgt = resolve_target(docs, target)
+    top = sim.top_similar(similar_documents_hashed(spark, sf_dir, tgt, num_features), k, key=KEY)
+    return reports.similarity_summary(docs, top, tgt, num_features, key=KEY)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "assemble_lines": assemble_lines,
     "preview_books": preview_books,
     "subset_documents": subset_documents,
     "extract_metadata": extract_metadata,
+    "preview_metadata": preview_metadata,
     "metadata_stats": metadata_stats,
     "books_per_year": books_per_year,
     "language_distribution": language_distribution,
@@ -215,7 +210,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "similar_documents_topk": similar_documents_topk,
     "tfidf_hashed": tfidf_hashed,
     "similar_documents_hashed": similar_documents_hashed,
+    "similarity_summary": similarity_summary,
 }
 
-# Queries with no SQL twin: HashingTF's MurmurHash3 buckets have no DuckDB equivalent.
-ROWS_ONLY = ("tfidf_hashed", "similar_documents_hashed")
+# Queries with no SQL twin: none.
+ROWS_ONLY: tuple[str, ...] = ()

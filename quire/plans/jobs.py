@@ -52,9 +52,7 @@ def load_books_job(spark: SparkSession, books_dir: str, output_path: str) -> Dat
 
 def metadata_job(spark: SparkSession, books_path: str, out_dir: str,
                  top_authors: int = fv.TOP_AUTHORS_LIMIT) -> dict[str, str]:
-    paths = {k: _out(out_dir, k) for k in (
-        "metadata_extracted", "temporal_distribution", "language_statistics",
-        "encoding_distribution", "top_authors", "summary")}
+    paths = {k: _out(out_dir, k) for k in fv.METADATA_OUTPUTS}
     meta = _persist_output(spark, mo.extract_metadata(spark.read.parquet(books_path)),
                            paths["metadata_extracted"])
     sinks.write_csv(mo.books_per_year(meta), paths["temporal_distribution"], sort_by=["year"])
@@ -79,14 +77,16 @@ def similarity_job(spark: SparkSession, books_path: str, out_dir: str,
     """
     docs = books.subset(spark.read.parquet(books_path).select(key, "text"), num_books, key=key)
     docs = materialize(docs) if num_books is not None else docs
-    paths = {k: _out(out_dir, k) for k in (
-        "tfidf_vectors", "similarities", "top_similar", "summary")}
+    paths = {k: _out(out_dir, k) for k in fv.SIMILARITY_OUTPUTS}
     sinks.write_parquet(tfidf.tfidf_vectors(docs, key, num_features=num_features),
                         paths["tfidf_vectors"])
     weights = tfidf.weights_from_vectors(spark.read.parquet(paths["tfidf_vectors"]), key)
     tgt = target if target is not None else docs.agg(F.min(key)).first()[0]
+    if docs.filter(F.col(key) == F.lit(tgt)).limit(1).count() == 0:
+        raise ValueError(f"the target {tgt!r} is not in the corpus")
     sims = _persist_output(spark, sim.cosine_to_target(weights, docs, tgt, key=key,
-                                                       feature="bucket", weight="weight"),
+                                                       feature="bucket", weight="weight",
+                                                       broadcast_target=True),
                            paths["similarities"])
     top = _persist_output(spark, sim.top_similar(sims, top_k, key=key), paths["top_similar"])
     sinks.write_parquet(reports.similarity_summary(docs, top, tgt, num_features, key=key),
@@ -97,15 +97,13 @@ def similarity_job(spark: SparkSession, books_path: str, out_dir: str,
 def network_job(spark: SparkSession, books_path: str, out_dir: str,
                 window: int = fv.TIME_WINDOW, top: int = fv.TOP_K,
                 key: str = "file_name") -> dict[str, str]:
-    paths = {k: _out(out_dir, k) for k in (
-        "influence_network", "author_metrics", "top_influential", "top_influenced", "summary")}
+    paths = {k: _out(out_dir, k) for k in fv.NETWORK_OUTPUTS}
     ay = materialize(inf.author_years(spark.read.parquet(books_path), key=key))
-    # the edge list (up to quadratic in authors) is written once and read back for the degrees
-    edges = _persist_output(spark, inf.influence_edges(ay, window), paths["influence_network"])
-    degrees = _persist_output(spark, inf.author_degrees(ay, edges), paths["author_metrics"])
+    sinks.write_parquet(inf.influence_edges(ay, window), paths["influence_network"])
+    degrees = _persist_output(spark, inf.author_degrees(ay, window), paths["author_metrics"])
     sinks.write_parquet(inf.top_influential(degrees, top), paths["top_influential"])
     sinks.write_parquet(inf.top_influenced(degrees, top), paths["top_influenced"])
-    sinks.write_parquet(reports.network_summary(ay, edges, degrees, window), paths["summary"])
+    sinks.write_parquet(reports.network_summary(ay, degrees, window), paths["summary"])
     return paths
 
 

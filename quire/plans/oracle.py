@@ -63,10 +63,11 @@ DEGREES = """degrees AS (
 # Tokenizer parity: clean, lower, split on single Java whitespace, drop trailing empties; a
 # whitespace-only text has no tokens at all, an empty text has one empty token.
 TOKENS = f"""cleaned AS (
-  SELECT doc_id, lower(regexp_replace(coalesce(text, ''), '{_CLEAN}', ' ', 'g')) AS c
+  SELECT row_number() OVER () AS row_id, doc_id,
+    lower(regexp_replace(coalesce(text, ''), '{_CLEAN}', ' ', 'g')) AS c
   FROM documents),
 tok_arrays AS (
-  SELECT doc_id,
+  SELECT row_id, doc_id,
     list_filter(
       CASE WHEN c <> '' AND regexp_full_match(c, '{_WS}+') THEN []::VARCHAR[]
            ELSE string_split_regex(regexp_replace(c, '{_WS}+$', ''), '{_WS}') END,
@@ -94,8 +95,61 @@ sims AS (
   SELECT d.doc_id,
     round(coalesce(CASE WHEN s.norm * tn.tnorm > 0 THEN s.dot / (s.norm * tn.tnorm) END, 0.0), 6)
       AS similarity
-  FROM documents d LEFT JOIN scored s USING (doc_id) CROSS JOIN tn
-  WHERE d.doc_id <> (SELECT t FROM target))"""
+  FROM documents d LEFT JOIN scored s ON d.doc_id IS NOT DISTINCT FROM s.doc_id CROSS JOIN tn
+  WHERE d.doc_id IS DISTINCT FROM (SELECT t FROM target))"""
+
+_TWO32 = 4294967296
+
+
+def _rotl(x: str, r: int) -> str:
+    return f"((({x})::HUGEINT * {1 << r}) % {_TWO32} + ({x}) // {1 << (32 - r)})"
+
+
+def _mix(k: str) -> str:
+    return f"(({_rotl(f'(({k})::HUGEINT * 3432918353) % {_TWO32}', 15)}::HUGEINT * 461845907) % {_TWO32})::UBIGINT"
+
+
+# MurmurHash3 (x86, 32 bits, seed 42) of each distinct term's bytes, then a non-negative remainder:
+# the bucket of HashingTF. Terms are ASCII letters, so ord() is the byte.
+HASHED = f"""{TOKENS},
+tok_all AS (SELECT row_id, doc_id, unnest(toks) AS term FROM tok_arrays),
+term_bytes AS (
+  SELECT term, length(term)::BIGINT AS n, CASE WHEN term = '' THEN []::UBIGINT[]
+    ELSE list_transform(string_split(term, ''), lambda c: ord(c)::UBIGINT) END AS b
+  FROM (SELECT DISTINCT term FROM tok_all)),
+term_blocks AS (
+  SELECT term, n, list_transform(range(0, n // 4), lambda i:
+      {_mix('b[4*i+1] + b[4*i+2] * 256 + b[4*i+3] * 65536 + b[4*i+4] * 16777216')}) AS ks,
+    coalesce(b[4*(n//4)+1], 0) + coalesce(b[4*(n//4)+2], 0) * 256 + coalesce(b[4*(n//4)+3], 0) * 65536 AS tail
+  FROM term_bytes),
+term_body AS (
+  SELECT term, n, tail, list_reduce(list_prepend({fv.HASH_SEED}::UBIGINT, ks), lambda h, k:
+      (({_rotl('xor(h, k)', 13)} * 5 + 3864292196) % {_TWO32})::UBIGINT) AS h FROM term_blocks),
+f0 AS (SELECT term, xor(xor(h, {_mix('tail')}), n::UBIGINT) AS h FROM term_body),
+f1 AS (SELECT term, ((xor(h, h // 65536)::HUGEINT * 2246822507) % {_TWO32})::UBIGINT AS h FROM f0),
+f2 AS (SELECT term, ((xor(h, h // 8192)::HUGEINT * 3266489909) % {_TWO32})::UBIGINT AS h FROM f1),
+f3 AS (SELECT term, xor(h, h // 65536)::BIGINT AS h FROM f2),
+buckets AS (SELECT term, ((CASE WHEN h >= 2147483648 THEN h - {_TWO32} ELSE h END) % {fv.NUM_FEATURES}
+    + {fv.NUM_FEATURES}) % {fv.NUM_FEATURES} AS bucket FROM f3),
+htf AS (SELECT row_id, doc_id, bucket::INTEGER AS bucket, count(*)::DOUBLE AS tf
+  FROM tok_all JOIN buckets USING (term) GROUP BY 1, 2, 3),
+hdf AS (SELECT bucket, count(*) AS df FROM htf GROUP BY bucket),
+hw AS (SELECT doc_id, bucket, tf * ln((n + 1.0) / (df + 1.0)) AS weight
+  FROM htf JOIN hdf USING (bucket) CROSS JOIN (SELECT count(*) AS n FROM documents))"""
+
+SIMILAR_HASHED = f"""{HASHED},
+target AS (SELECT min(doc_id) AS t FROM documents),
+tv AS (SELECT bucket, weight AS tw FROM hw WHERE doc_id = (SELECT t FROM target)),
+tn AS (SELECT sqrt(sum(tw * tw)) AS tnorm FROM tv),
+scored AS (
+  SELECT hw.doc_id, sqrt(sum(hw.weight * hw.weight)) AS norm, sum(hw.weight * tv.tw) AS dot
+  FROM hw LEFT JOIN tv USING (bucket) GROUP BY hw.doc_id),
+sims AS (
+  SELECT d.doc_id,
+    round(coalesce(CASE WHEN s.norm * tn.tnorm > 0 THEN s.dot / (s.norm * tn.tnorm) END, 0.0), 6)
+      AS similarity
+  FROM documents d LEFT JOIN scored s ON d.doc_id IS NOT DISTINCT FROM s.doc_id CROSS JOIN tn
+  WHERE d.doc_id IS DISTINCT FROM (SELECT t FROM target))"""
 
 
 def _stats_select() -> str:
@@ -118,16 +172,18 @@ STATS_KEYS = ("total_books", "with_title", "with_author", "with_year", "with_lan
               "pct_title", "pct_author", "pct_year", "pct_language", "min_year", "max_year")
 
 
-def _metadata_report(top: int) -> str:
+def _metadata_report(top: int, authors: int, years: int) -> str:
     stats_rows = " UNION ALL ".join(
         f"SELECT 'stats' AS section, {i}::INTEGER AS rank, '{k}' AS key, {k}::DOUBLE AS value "
         f"FROM stats" for i, k in enumerate(STATS_KEYS, 1))
     tops = []
-    for section, column in (("top_languages", "language"), ("top_authors", "author")):
+    for section, column, top in (("top_languages", "language", top), ("top_authors", "author", authors)):
         tops.append(
             f"SELECT '{section}' AS section, "
             f'row_number() OVER (ORDER BY "count" DESC, {column})::INTEGER AS rank, '
             f'{column} AS key, "count"::DOUBLE AS value FROM ({_counts(column, "count", top)})')
+    tops.append(f"SELECT 'first_years' AS section, row_number() OVER (ORDER BY year)::INTEGER AS rank, "
+                f'cast(year AS VARCHAR) AS key, "count"::DOUBLE AS value FROM ({_counts("year", "key", years)})')
     return (f"WITH {HEADED}, {META}, stats AS ({_stats_select()})\n"
             f"{stats_rows} UNION ALL {' UNION ALL '.join(tops)}")
 
@@ -167,12 +223,14 @@ def oracle_queries(window: int = fv.TIME_WINDOW, top_k: int = fv.TOP_K,
         # metadata profile
         "extract_metadata": meta + "SELECT doc_id, title, author, year, language, encoding, "
                                    "release_date FROM meta",
+        "preview_metadata": meta + "SELECT doc_id, title, author, year, language, encoding, release_date "
+                                   f"FROM meta ORDER BY doc_id LIMIT {fv.METADATA_PREVIEW_ROWS}",
         "metadata_stats": meta + _stats_select(),
         "books_per_year": meta + _counts("year", "key"),
         "language_distribution": meta + _counts("language", "count"),
         "encoding_distribution": meta + _counts("encoding", "count"),
         "top_authors": meta + _counts("author", "count", top_authors),
-        "metadata_report": _metadata_report(report_top),
+        "metadata_report": _metadata_report(report_top, top_authors, fv.REPORT_YEARS),
         # word count
         "word_count": ("SELECT word, count(*) AS \"count\" FROM (SELECT unnest(string_split_regex("
                        f"text, {_lit(fv.WORD_DELIMITERS)})) AS word FROM documents) WHERE word <> '' "
@@ -196,4 +254,12 @@ def oracle_queries(window: int = fv.TIME_WINDOW, top_k: int = fv.TOP_K,
             f"WITH {SIMILAR} SELECT doc_id, similarity, "
             f"row_number() OVER (ORDER BY similarity DESC, doc_id)::INTEGER AS rank FROM sims "
             f"ORDER BY similarity DESC, doc_id LIMIT {int(top_k)}"),
+        "tfidf_hashed": f"WITH {HASHED} SELECT doc_id, bucket, round(weight, 6) AS weight FROM hw",
+        "similar_documents_hashed": f"WITH {SIMILAR_HASHED} SELECT doc_id, similarity FROM sims",
+        "similarity_summary": (
+            f"WITH {SIMILAR_HASHED} SELECT 'config' AS section, 1::INTEGER AS rank, 'books' AS key, "
+            f"(SELECT count(*) FROM documents)::DOUBLE AS value UNION ALL SELECT 'config', 2, 'features', "
+            f"{fv.NUM_FEATURES}::DOUBLE UNION ALL SELECT 'config', 3, (SELECT t FROM target)::VARCHAR, NULL "
+            f"UNION ALL (SELECT 'top_similar', row_number() OVER (ORDER BY similarity DESC, doc_id)::INTEGER, "
+            f"doc_id::VARCHAR, similarity FROM sims ORDER BY similarity DESC, doc_id LIMIT {int(top_k)})"),
     }

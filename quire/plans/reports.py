@@ -1,7 +1,7 @@
 """Tidy reports built from the aggregates: the summaries as DataFrames, not driver-side text.
 
 ``metadata_report`` -> ``(section, rank int, key, value double)``: the completeness statistics
-(section ``stats``) and the top languages and authors. ``similarity_summary`` has the same shape:
+(section ``stats``), the top languages and authors and the first years. ``similarity_summary`` has the same shape:
 the configuration (books, features, target) and the ranked most similar books. ``network_summary``
 -> ``(metric, value double)``. All are a handful of rows from one-row aggregates and top-k lists.
 """
@@ -33,21 +33,25 @@ def _top_rows(counts: DataFrame, column: str, section: str, n: int) -> DataFrame
                        F.col("count").cast("double").alias("value"))
 
 
-def metadata_report(metadata: DataFrame, top: int = fv.REPORT_TOP) -> DataFrame:
+def metadata_report(metadata: DataFrame, top: int = fv.REPORT_TOP,
+                    top_authors: int = fv.TOP_AUTHORS_LIMIT,
+                    first_years: int = fv.REPORT_YEARS) -> DataFrame:
     stats = _stats_rows(mo.completeness_stats(metadata)).select(
         "section", F.col("rank").cast("int").alias("rank"), "key", "value")
     langs = _top_rows(mo.value_counts(metadata, "language"), "language", "top_languages", top)
-    authors = _top_rows(mo.value_counts(metadata, "author"), "author", "top_authors", top)
-    return stats.unionByName(langs).unionByName(authors)
+    authors = _top_rows(mo.value_counts(metadata, "author"), "author", "top_authors", top_authors)
+    years = top_k(mo.value_counts(metadata, "year", order="key"), first_years, [F.col("year")]).select(
+        F.lit("first_years").alias("section"), F.col("rank").cast("int").alias("rank"),
+        F.col("year").cast("string").alias("key"), F.col("count").cast("double").alias("value"))
+    return stats.unionByName(langs).unionByName(authors).unionByName(years)
 
 
-def network_summary(author_years_df: DataFrame, edges: DataFrame, degrees: DataFrame,
+def network_summary(author_years_df: DataFrame, degrees: DataFrame,
                     window: int = fv.TIME_WINDOW) -> DataFrame:
     """Books, authors, window, edges and the average degrees (null when there are no authors).
 
     Every edge adds one to an out-degree, so the edge count is the sum of out-degrees: the edge
-    list (quadratic in authors at worst) is not computed a second time just to be counted.
-    ``edges`` is accepted for symmetry with the other reports.
+    list (quadratic in authors at worst) is not computed just to be counted.
     """
     books = author_years_df.select(F.count(F.lit(1))).scalar()
     row = degrees.agg(

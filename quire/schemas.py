@@ -17,6 +17,8 @@ QUERY_SCHEMAS: dict[str, str] = {
     "subset_documents": BOOKS,
     "extract_metadata": ("doc_id bigint, title string, author string, year int, language string, "
                          "encoding string, release_date string"),
+    "preview_metadata": ("doc_id bigint, title string, author string, year int, language string, "
+                         "encoding string, release_date string"),
     "metadata_stats": ("total_books bigint, with_title bigint, with_author bigint, "
                        "with_year bigint, with_language bigint, pct_title double, "
                        "pct_author double, pct_year double, pct_language double, "
@@ -40,6 +42,7 @@ QUERY_SCHEMAS: dict[str, str] = {
     "similar_documents_topk": "doc_id bigint, similarity double, rank int",
     "tfidf_hashed": "doc_id bigint, bucket int, weight double",
     "similar_documents_hashed": "doc_id bigint, similarity double",
+    "similarity_summary": "section string, rank int, key string, value double",
 }
 
 

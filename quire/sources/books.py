@@ -41,19 +41,29 @@ def assemble_books(books: DataFrame, text: str = "text") -> DataFrame:
 
 
 def first_by_key(books: DataFrame, n: int, key: str) -> DataFrame:
-    """The ``n`` rows with the smallest keys, reading the wide columns of those rows only.
+    """The ``n`` rows with the smallest keys (null keys last), wide columns read for those only.
 
-    A key-only scan finds the n-th smallest key (top-n taken map-side, one scalar back); the
-    rows are then selected with ``key <= cutoff`` as a literal, which reaches the Parquet scan
-    and skips row groups by their statistics, so the text of the other books is never read.
-    Equal keys at the cutoff are resolved by the final top-n, as ``orderBy(key).limit(n)`` does.
-    Rows with a null key are not ranked.
+    A key-only scan finds the n-th smallest key and how many rows of that key belong to the first
+    n (top-n taken map-side, one row back). Rows below the cutoff are selected with a literal
+    filter, which reaches the Parquet scan and skips row groups; they keep their partitions and
+    are not sorted. Only ties at the cutoff are settled, by the hash of the row.
     """
-    keys = books.select(key).where(F.col(key).isNotNull()).orderBy(key).limit(max(n, 0))
-    cutoff = keys.agg(F.max(key)).first()[0]
-    if cutoff is None:  # n <= 0, or no keyed row at all
+    if n <= 0:
         return books.limit(0)
-    return books.where(F.col(key) <= F.lit(cutoff)).orderBy(F.col(key)).limit(n)
+    keys = books.select(F.col(key).alias("k")).orderBy(F.asc_nulls_last("k")).limit(n)
+    counts = keys.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    last = counts.filter("k is not null").agg(F.max(F.struct("k", "n")).alias("top"), F.sum("n").alias("keyed")).first()
+    found = last.keyed or 0
+    tie = lambda rows, m: rows.orderBy(F.xxhash64(*books.columns)).limit(m)
+    parts = []
+    if found:
+        parts = [books.where(F.col(key) < F.lit(last.top.k)), tie(books.where(F.col(key) == F.lit(last.top.k)), last.top.n)]
+    if found < n:
+        parts.append(tie(books.where(F.col(key).isNull()), n - found))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def subset(books: DataFrame, n: int | None, key: str = "file_name") -> DataFrame:
@@ -64,5 +74,5 @@ def subset(books: DataFrame, n: int | None, key: str = "file_name") -> DataFrame
 
 
 def preview(books: DataFrame, n: int, key: str = "file_name") -> DataFrame:
-    """First ``n`` rows by key (see :func:`first_by_key`)."""
-    return first_by_key(books, n, key)
+    """First ``n`` rows by key, in that order (see :func:`first_by_key`): a handful, for reading."""
+    return first_by_key(books, n, key).orderBy(F.asc_nulls_last(key))

@@ -20,9 +20,9 @@ TABLES = (
 # Header prepended to each document. `{string}` is the string type name of the dialect.
 _HEADED_TEXT_TEMPLATE = """concat(
   case when doc_id % 13 = 0 then 'Title: ' else concat('Title: Book ', cast(doc_id as {string})) end, chr(10),
-  case when doc_id % 11 = 0 then '' else concat('Author: Author ', cast(doc_id % 211 as {string}), chr(10)) end,
+  case when doc_id % 11 = 0 then '' else concat('Author: Author ', cast(cast(floor(doc_id / 7) as bigint) as {string}), chr(10)) end,
   case when doc_id % 17 = 0 then '' else concat('Release Date: June 5, ',
-       cast(1800 + ((doc_id % 211) * 37) % 190 + (cast(floor(doc_id / 211) as bigint) % 4) * 3 as {string}),
+       cast(1800 + (cast(floor(doc_id / 7) as bigint) * 37) % 190 + (doc_id % 4) * 3 as {string}),
        ' [EBook #', cast(10000 + doc_id as {string}), ']', chr(10)) end,
   'Language: ', lang, chr(10),
   case when doc_id % 7 = 0 then '' else concat('Character set encoding: ',
@@ -43,41 +43,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def spread_small_input(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread ``df`` only when its scan has at most half as many splits as the cluster has
-    cores; otherwise return it untouched.
-
-    Text operators are CPU-bound per row, so a corpus stored as a few large row groups would run
-    on a few cores. A big corpus has far more splits than cores and is never reshuffled here
-    (shuffling raw text at scale costs more than it saves).
-
-    The spread is by ``xxhash64(key)``, deliberately not by ``key``: a key partitioning would
-    satisfy the later ``groupBy(key, term)`` with no exchange, and then nothing after the
-    tokenizer could be shared between the TF and IDF branches; with the TF exchange in place
-    both read one reused shuffle and the text is tokenized once (measured faster at sf0.1).
-
-    Catalyst pushes filters through a repartition, so operators keep their filters cheap (for
-    example line assembly tests the raw text, not the assembled one); a checkpoint here was
-    measured slower overall, because the TF-IDF queries read their input more than once.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if 2 * df.rdd.getNumPartitions() > cores:
-        return df
-    # two tasks per core balance books of very different lengths; the width follows the cores,
-    # not spark.sql.shuffle.partitions (an explicit repartition width is not coalesced by AQE)
-    return df.repartition(2 * cores, F.xxhash64(F.col(key)))
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, text)``: the books of the driver data. Null text is read as ``""``."""
-    raw = read_table(spark, sf_dir, "documents").select(
+    return read_table(spark, sf_dir, "documents").select(
         "doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return spread_small_input(raw, "doc_id")
 
 
 def headed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, text)`` with header lines prepended (see module docstring)."""
-    raw = read_table(spark, sf_dir, "documents").select(
+    return read_table(spark, sf_dir, "documents").select(
         "doc_id", F.expr(headed_text_sql("spark")).alias("text"))
-    return spread_small_input(raw, "doc_id")

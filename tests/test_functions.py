@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from quire.functions import fixed_values as fv
 from quire.functions import metadata as md
 from quire.functions import text as tx
-from quire.functions.hashing import bucket_of, murmur3_x86_32
+from tests.hashing_twin import bucket_of, murmur3_x86_32
 
 
 def test_stop_words_equal_spark_default(spark):
@@ -100,12 +100,18 @@ def test_assemble_lines_equals_split_form(spark, sf_smoke):
             "a\u0085b\n"]
     docs = tables.documents(spark, sf_smoke).select(tx.inject_blank_lines("text").alias("t"))
     docs = docs.unionByName(spark.createDataFrame([(e,) for e in edge], "t string"))
-    assert docs.filter(tx.assemble_lines("t") != tx.assemble_lines_by_split("t")).count() == 0
+    lines = F.split("t", fv.LINE_BREAK_PATTERN)
+    by_split = F.array_join(F.filter(lines, lambda x: x != F.lit("")), "\n")
+    assert docs.filter(tx.assemble_lines("t") != by_split).count() == 0
 
 
-def test_words_rule(spark):
-    df = spark.createDataFrame([(" We're\tup\f all\r\n",)], "t string")
-    assert df.select(tx.words("t")).first()[0] == ["We're", "up", "all"]
+def test_long_runs_of_white_space_are_linear(spark):
+    import time
+
+    df = spark.createDataFrame([("a" + " " * 1_000_000 + "b\t\n \x0b\x0c\r",)], "t string")
+    began = time.perf_counter()
+    size = df.select(F.size(tx.tokens(tx.clean_text("t")))).first()[0]
+    assert size == 1_000_001 and time.perf_counter() - began < 10
 
 
 def test_java_clean_pattern_equals_rule(spark, sf_smoke):
