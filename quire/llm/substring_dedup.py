@@ -7,8 +7,9 @@ its chunks. Chunks average 2 ``REACH`` + 1 characters and are deduplicated by di
 corpus: the first occurrence (smallest key, then text hash, then place) stays. Runs of repeated
 chunks of at least ``RUN_WORDS`` words (or ``RUN_CHARS`` characters, for scripts without spaces) are
 cut out. A verbatim passage loses at most its fringes to chunks that reach beyond it, under 25
-words, so a passage of over 50 words that stands anywhere before is always found, while short
-phrases and single common lines stay.
+words, so a passage of over 50 words that stands anywhere before is found, while short phrases and
+single common lines stay. (Text that only repeats one short unit has no border inside: such a run is
+one chunk, found only where it repeats in its whole length.)
 
 Scale: digests are counted with partial aggregation, only digests that repeat are looked at again,
 and only for them is the first place sought (an aggregation, then an equi-join whose hot keys can
