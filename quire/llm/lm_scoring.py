@@ -39,6 +39,7 @@ TOP, SUFFIXES = 96, 159  # classes: end, TOP words, SUFFIXES by last two bytes
 CLASSES = 1 + TOP + SUFFIXES
 ORDER, SIZE = 5, 16
 NOISE, BATCH, RATE = 40, 4096, 0.15
+SCORED = 1024  # positions of a product when scoring: its class scores stay in a core's cache
 GATHER = 16  # averages of parameters that reach the driver
 
 
@@ -78,35 +79,44 @@ def windows(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """Targets of all texts (their ends included) and the ORDER classes before each; before a text
     stands the class CLASSES."""
     pad = [CLASSES] * ORDER
-    line = np.array([c for text in ids for c in (*pad, *text, 0)], np.int64)
+    flat: list[int] = []
+    for text in ids:
+        flat += pad
+        flat += text
+        flat.append(0)
+    line = np.array(flat, np.int32)
     at = np.flatnonzero(line != CLASSES)
-    return line[at], np.stack([line[at - k] for k in range(1, ORDER + 1)], 1)
+    context = np.empty((len(at), ORDER), np.int32, order="F")  # each distance is read as a whole
+    for k in range(ORDER):
+        context[:, k] = line[at - k - 1]
+    return line[at], context
 
 
 def predictions(m: dict, context: np.ndarray) -> np.ndarray:
-    out = m["R"][context[:, 0]] * m["P"][0]
+    out = (m["R"] * m["P"][0])[context[:, 0]]  # scaled as a table, then gathered
     for k in range(1, ORDER):
-        out += m["R"][context[:, k]] * m["P"][k]
+        out += (m["R"] * m["P"][k])[context[:, k]]
     return out
 
 
 def log_probabilities(m: dict, target: np.ndarray, context: np.ndarray) -> np.ndarray:
     """Natural log-probability of each target class, normalised over all classes."""
     out = np.empty(len(target))
-    for k in range(0, len(target), BATCH):
-        t = target[k:k + BATCH]
-        s = predictions(m, context[k:k + BATCH]) @ m["Q"].T
-        s += m["b"]
+    classes = np.concatenate([m["Q"].T, m["b"][None, :]])
+    for k in range(0, len(target), SCORED):
+        t = target[k:k + SCORED]
+        q = predictions(m, context[k:k + SCORED])
+        s = np.concatenate([q, np.ones((len(q), 1), np.float32)], 1) @ classes
         s -= s.max(1, keepdims=True)
         own = s[np.arange(len(t)), t]
         np.exp(s, out=s)
-        out[k:k + BATCH] = own - np.log(s.sum(1, dtype=np.float64))
+        out[k:k + SCORED] = own - np.log(s.sum(1))
     return out
 
 
 def _add_rows(n: int, index: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Rows summed by index."""
-    flat = (index[:, None] * SIZE + np.arange(SIZE)).reshape(-1)
+    flat = (index[:, None].astype(np.int64) * SIZE + np.arange(SIZE)).reshape(-1)
     return np.bincount(flat, rows.reshape(-1), n * SIZE).reshape(n, SIZE).astype(np.float32)
 
 
@@ -135,11 +145,13 @@ class Trainer:
         g_data = (1 / (1 + np.exp(-np.clip(of_data, -30, 30))) - 1).astype(np.float32) / n
         g_noise = (1 / (1 + np.exp(-np.clip(of_noise, -30, 30)))).astype(np.float32) / n
         dq = g_data[:, None] * m["Q"][t] + g_noise @ m["Q"][noise]
+        # dq summed by the class at each distance gives both gradients of the context side
+        by_class = [_add_rows(CLASSES + 1, context[:, k], dq) for k in range(ORDER)]
         gradient = {
             "Q": _add_rows(CLASSES, t, g_data[:, None] * q) + _add_rows(CLASSES, noise, g_noise.T @ q),
             "b": (np.bincount(t, g_data, CLASSES) + np.bincount(noise, g_noise.sum(0), CLASSES)).astype(np.float32),
-            "P": np.stack([(dq * m["R"][context[:, k]]).sum(0) for k in range(ORDER)]),
-            "R": sum(_add_rows(CLASSES + 1, context[:, k], dq * m["P"][k]) for k in range(ORDER))}
+            "P": np.stack([(s * m["R"]).sum(0) for s in by_class]),
+            "R": sum(s * m["P"][k] for k, s in enumerate(by_class))}
         for k, g in gradient.items():
             g = g * np.float32(20)  # a common scale; the step sizes adapt
             self.sums[k] += g * g
