@@ -71,6 +71,30 @@ def test_widening_finds_what_a_bad_graph_misses():
     assert len(row) == (x @ x.T >= 0.95).sum()
 
 
+def test_audit_sees_missed_links_the_block_does_not_sample():
+    rng = np.random.default_rng(8)
+    x = unit(rng.normal(size=(1500, 24)))
+    graph = hnsw.Graph(np.arange(1500), x)
+    lost = np.setdiff1d(np.arange(0, 1500, 8), graph.order[:20])  # no link leads to these any more
+    for near in graph.near:
+        near[np.isin(near, lost)] = -1
+    q = unit(rng.normal(size=(640, 24)))
+    turned = unit(x[lost] + rng.normal(size=(len(lost), 24)) * 0.02)
+    free = np.setdiff1d(np.arange(640), np.linspace(0, 639, 64).astype(int))[:len(lost)]
+    q[free] = turned  # the other queries have no link in this shard
+    truth = (q @ x.T >= 0.95).sum()
+    assert truth >= len(lost)
+    assert len(hnsw.audited_links(graph, x, q, 0.95)[0]) == truth
+
+
+@pytest.mark.parametrize("n, d", [(1, 24), (5, 1), (400, 24)])
+def test_disturbed_copies_have_a_known_answer(n, d):
+    x = unit(np.random.default_rng(n).normal(size=(n, d)))
+    node, q = hnsw.disturbed(np.arange(n), x, 0.95)
+    assert len(node) == min(n, hnsw.AUDIT_ROWS) == len(set(node.tolist()))
+    assert ((q * x[node]).sum(1) >= 0.95).all() and np.allclose(np.linalg.norm(q, axis=1), 1)
+
+
 def test_graph_is_navigable():
     x = unit(cloud(1500, groups=(300, 2, 2)).astype(float))
     graph = hnsw.Graph(np.arange(1500), x)
