@@ -39,8 +39,17 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, and the digest of what they decode to."""
-    both = bpe.bpe_encode_decode(docs.select("doc_id", "lang", "source", "text"))
+    """Token ids of every text, and the digest of what they decode to, in the order of the mix.
+
+    Spark reads files in order of size, so the order is taken again from the name of each file
+    (longer numbers are later) and the place in it; texts are sorted before they are encoded,
+    because the sort looks at its input twice.
+    """
+    path = F.col("_metadata.file_path")
+    mixed = docs.select("doc_id", "lang", "source", "text", F.length(path).alias("__long"),
+                        path.alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    mixed = mixed.orderBy("__long", "__file", "__row").select("doc_id", "lang", "source", "text")
+    both = bpe.bpe_encode_decode(mixed)
     return both.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
                        "decoded_sha256")
 

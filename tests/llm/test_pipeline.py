@@ -75,3 +75,22 @@ def test_against_plain_python(spark):
     assert 0 < len(expected) < 200
     assert sorted(got) == sorted(expected)
     assert [r[0] for r in got] == [r[0] for r in expected]  # also in the order of the mix
+
+
+def test_tokens_keep_the_mix_of_several_files(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    data = [(i, "en", f"s{i % 3}", " ".join(["word"] * int(rng.integers(1, 60)) * (1 + i // 40))) for i in range(240)]
+    order = rng.permutation(240).tolist()
+    docs = spark.createDataFrame([(*data[i], k) for k, i in enumerate(order)],
+                                 "doc_id long, lang string, source string, text string, at int")
+    # files that grow: Spark reads the largest first
+    docs.repartitionByRange(6, "at").sortWithinPartitions("at").drop("at").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    assert len(docs.inputFiles()) > 1
+    expected = [data[i][0] for i in order]
+    result = corpus_pipeline.tokens(spark, docs, SF)
+    assert [r.doc_id for r in result.collect()] == expected
+    # and in the order of the names of the files that are written
+    result.write.parquet(f"{tmp_path}/out")
+    written = [r.doc_id for f in sorted((tmp_path / "out").glob("part-*")) for r in spark.read.parquet(str(f)).collect()]
+    assert written == expected
