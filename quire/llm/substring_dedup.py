@@ -6,10 +6,12 @@ border: so borders depend on nearby text only, and an insertion shifts later tex
 its chunks. Chunks average 2 ``REACH`` + 1 characters and are deduplicated by digest over the whole
 corpus: the first occurrence (smallest key, then text hash, then place) stays. Runs of repeated
 chunks of at least ``RUN_WORDS`` words (or ``RUN_CHARS`` characters, for scripts without spaces) are
-cut out. A verbatim passage loses at most its fringes to chunks that reach beyond it, under 25
-words, so a passage of over 50 words that stands anywhere before is found, while short phrases and
-single common lines stay. (Text that only repeats one short unit has no border inside: such a run is
-one chunk, found only where it repeats in its whole length.)
+cut out. A verbatim passage loses at most its fringes to chunks that reach beyond it (the window, the
+reach, a word and what is left to the next border on both sides), so a passage of over 50 words that
+stands anywhere before is found, while short phrases and single common lines stay. Borders have no
+greatest distance, so this is not certain: of 40,000 passages of 51 words of the test table none was
+missed, of 4,000 with words of one to five letters one was. (Text that only repeats one short unit
+has no border inside: such a run is one chunk, found only where it repeats in its whole length.)
 
 Scale: digests are counted with partial aggregation, only digests that repeat are looked at again,
 and only for them is the first place sought (an aggregation, then an equi-join whose hot keys can
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from quire.llm.common import arrow_map, mix64, row_hash, texts_of
 from quire.session import materialize
 
-WINDOW, REACH = 16, 16
+WINDOW, REACH = 8, 10
 SNAP = 24  # a border moves at most so far to the next word
 RUN_WORDS, RUN_CHARS = 25, 400
 

@@ -86,6 +86,19 @@ def test_planted_passages_go_and_clean_texts_stay(rows):
     assert all(r.place == "here" for r in out.values())
 
 
+def test_passages_of_51_short_words_are_found():
+    rng = random.Random(7)
+    vocab = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(1, 4))) for _ in range(3000)]
+    words = lambda n: " ".join(rng.choice(vocab) for _ in range(n))
+    passages = [words(51) for _ in range(1000)]
+    before, after = ([f"{words(40)} {p} {words(40)}" for p in passages] for _ in range(2))
+    missed = 0
+    for text, (_, first), (border, digest) in zip(after, sd.chunks(before), sd.chunks(after)):
+        again = np.flatnonzero(np.isin(digest, first))
+        missed += not len(sd.repeated_spans(text, border, again))
+    assert missed == 0
+
+
 def test_whole_copies_become_empty(rows):
     text = prose(120)
     out = {r.doc_id: r.text for r in sd.substring_dedup(
