@@ -4,7 +4,9 @@ Every source is a task whose weight is its share of the mix, every block of its
 In a period of P slots a source of q slots has weight q / P, and its k-th block may not run before
 slot floor((k - 1) P / q) (release) and must have run by slot ceil(k P / q) (deadline). Each slot
 takes, among the released blocks, the one of earliest deadline (ties: smaller source name). So at
-every slot, until a source runs out, each source has had its share to within less than one block.
+every slot, until a source runs out, each source has had q / P of the slots to within less than one block.
+That is the rounded share: from the exact weight it departs by up to a slot in each period (more where a
+smaller weight gets its least slot), and this adds up over the periods.
 
 The schedule of one period is a fold over its slots; all later periods repeat it, so the slot of
 block b of a source is a closed form: ``(b div q) * P + slots[b mod q]``. No row is dropped: when
