@@ -7,7 +7,8 @@ to the word (mean log-probability), words to the document (sum over all words of
 and a softmax makes the document's probabilities. Words over ``PIECE`` bytes are read in pieces.
 
 It learns from ``text`` and ``lang`` of training folds only: at most ``TRAIN_ROWS`` documents
-(chosen by a hash of the id) and ``TRAIN_WORDS`` words of each, evenly spaced over the whole text.
+(chosen by a hash of the id), and of every language at least ``LANG_ROWS`` if it has so many; and
+``TRAIN_WORDS`` words of each, evenly spaced over the whole text.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; without training
 rows everything is; a language tie goes to the smaller name; repeated rows get equal results.
@@ -19,12 +20,14 @@ import re
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quire.llm.common import arrow_map, fold
 
 PIECE = 24
 TRAIN_ROWS, TRAIN_WORDS = 1600, 40
+LANG_ROWS = 40  # documents of every language at least, if it has so many
 EMBED, HIDDEN = 12, 16
 EPOCHS, LEAST_STEPS = 4, 200
 MARK = 32
@@ -165,10 +168,16 @@ def train(words: list[bytes], labels: np.ndarray, n_languages: int, epochs: int
 
 
 def training_words(docs: DataFrame, key: str, text: str, lang: str, max_rows: int):
-    """``(words, languages)`` of at most ``max_rows`` documents of the training folds."""
-    chosen = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & (fold(key) != 0)).select(
-        F.col(key).alias("__ck"), F.xxhash64(F.col(text)).alias("__ch")).orderBy(
-        F.xxhash64("__ck", "__ch"), "__ck", "__ch").limit(max_rows)
+    """``(words, languages)`` of at most ``max_rows`` documents of the training folds, and
+    of ``LANG_ROWS`` of each language."""
+    usable = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull() & (fold(key) != 0)).select(
+        F.col(key).alias("__ck"), F.xxhash64(F.col(text)).alias("__ch"), F.col(lang).alias("__cl"))
+    order = [F.xxhash64("__ck", "__ch"), F.col("__ck"), F.col("__ch")]
+    # the filter on the row number is taken in each task before the shuffle
+    each = usable.withColumn("__n", F.row_number().over(W.partitionBy("__cl").orderBy(*order))).filter(
+        F.col("__n") <= LANG_ROWS)
+    chosen = usable.orderBy(*order).limit(max_rows).select("__ck", "__ch").union(
+        each.select("__ck", "__ch")).distinct()
     found = docs.select(F.col(key).alias("__k"), F.col(text).alias("__t"), F.col(lang).alias("__l")).join(
         F.broadcast(chosen), F.col("__k").eqNullSafe(F.col("__ck"))
         & (F.xxhash64("__t") == F.col("__ch"))).select("__t", "__l").filter("__l is not null")

@@ -57,3 +57,12 @@ def test_edge_rows(rows):
     assert li.identify(rows([], schema)).collect() == []
     unlabelled = li.identify(rows([(1, "abc", None, "x", 1)], schema)).collect()
     assert unlabelled[0].lang_pred == "und" and unlabelled[0].score == 0.0
+
+
+def test_sample_holds_every_language(rows):
+    data = [(i, f"common words {i}", "en") for i in range(300)] + [(1000 + i, f"rare {i}", "xx") for i in range(6)]
+    docs = rows(data, "doc_id long, text string, lang string")
+    _, names = li.training_words(docs, "doc_id", "text", "lang", 5)
+    assert {"en", "xx"} == set(names)
+    many = rows([(i, f"w{i}", "en") for i in range(400)], "doc_id long, text string, lang string")
+    assert len(li.training_words(many, "doc_id", "text", "lang", 5)[1]) == li.LANG_ROWS
