@@ -7,7 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, hash_forest, hnsw, html_extract, jaccard_join, language_id, lm_scoring, mixing, quality, substring_dedup
+from quire.llm import (bpe, hash_forest, hnsw, html_extract, jaccard_join, language_id, lm_scoring, merkle, mixing,
+                       quality, substring_dedup)
 from quire.llm.common import documents, fold
 from quire.sources.tables import read_table
 
@@ -64,8 +65,14 @@ def op10_hnsw_near_dedup(spark, sf_dir):
     return hnsw.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return merkle.proofs(merkle.build(docs, changed={"text": merkle.newline_tampering()}))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_lm_scoring, op3_mix_sources, op4_quality_classifier, op5_language_id,
-    op6_hash_prefix_forest, op7_html_extract, op8_bpe_encode_decode, op9_jaccard_join, op10_hnsw_near_dedup)}
+    op6_hash_prefix_forest, op7_html_extract, op8_bpe_encode_decode, op9_jaccard_join, op10_hnsw_near_dedup,
+    op11_merkle_manifest)}
 
-ORACLES: dict[str, str] = {"op3_mix_sources": mixing.oracle()}
+ORACLES: dict[str, str] = {"op3_mix_sources": mixing.oracle(), "op11_merkle_manifest": merkle.oracle()}
