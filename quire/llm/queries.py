@@ -7,8 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quire.llm import (bpe, hash_forest, hnsw, html_extract, jaccard_join, language_id, lm_scoring, merkle, mixing,
-                       quality, substring_dedup)
+from quire.llm import (bpe, collocations, hash_forest, hnsw, html_extract, jaccard_join, language_id, lm_scoring,
+                       merkle, mixing, quality, substring_dedup, toxicity)
 from quire.llm.common import documents, fold
 from quire.sources.tables import read_table
 
@@ -70,9 +70,20 @@ def op11_merkle_manifest(spark, sf_dir):
     return merkle.proofs(merkle.build(docs, changed={"text": merkle.newline_tampering()}))
 
 
+def op12_toxicity(spark, sf_dir):
+    scored = toxicity.toxicity_scores(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"), out="score")
+    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.TOXIC_FROM).cast("int").alias("predicted"))
+
+
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_lm_scoring, op3_mix_sources, op4_quality_classifier, op5_language_id,
     op6_hash_prefix_forest, op7_html_extract, op8_bpe_encode_decode, op9_jaccard_join, op10_hnsw_near_dedup,
-    op11_merkle_manifest)}
+    op11_merkle_manifest, op12_toxicity, op13_collocations)}
 
-ORACLES: dict[str, str] = {"op3_mix_sources": mixing.oracle(), "op11_merkle_manifest": merkle.oracle()}
+ORACLES: dict[str, str] = {"op3_mix_sources": mixing.oracle(), "op11_merkle_manifest": merkle.oracle(),
+                           "op13_collocations": collocations.oracle()}

@@ -1,0 +1,116 @@
+"""Operator 13: against plain counting of every n-gram, the SON property, and edge rows."""
+
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from quire.llm import collocations as co
+
+DOCS = "doc_id long, text string, lang string, n long, phrase string, shard int, k int, h long, g long"
+
+
+def brute(rows, support, top=2000):
+    """``rows``: (text, lang) of all documents."""
+    f, n = defaultdict(Counter), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        low = "".join(c.lower() if c.isascii() else c for c in (text or ""))
+        for piece in re.split("[.,;:!?\x0A-\x0D]", low):
+            words = re.findall("[^ \t]+", piece)
+            n[lang] += len(words)
+            for k in range(1, 5):
+                f[lang].update(tuple(words[i:i + k]) for i in range(len(words) - k + 1))
+    out = []
+    for lang, counts in f.items():
+        candidates = {p: a for p, a in counts.items() if len(p) > 1 and a >= support}
+        longer = defaultdict(int)
+        for p, a in candidates.items():
+            for size in range(2, len(p)):
+                for i in range(len(p) - size + 1):
+                    longer[p[i:i + size]] = max(longer[p[i:i + size]], a)
+        scored = []
+        for p, a in candidates.items():
+            if 100 * longer[p] >= 80 * a:
+                continue
+            score, k = min((2_000_000 * a // (counts[p[:k]] + counts[p[k:]]), k) for k in range(1, len(p)))
+            scored.append((-score, -a, " ".join(p).encode(), counts[p[:k]], counts[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(scored)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, n[lang], -score))
+    return sorted(out)
+
+
+def run(docs, **more):
+    return sorted(tuple(r) for r in co.collocations(docs, **more).collect())
+
+
+def table(rows, texts, parts=3):
+    return rows([(i, t, g, 1, "clash", 2, 3, 4, 5) for i, (t, g) in enumerate(texts)], DOCS, parts)
+
+
+def made(seed, n=150):
+    rng = np.random.default_rng(seed)
+    words = ["of", "the", "New", "york", "city", "é", "x-y", "a", "B\x1cb", "--"]
+    texts = []
+    for _ in range(n):
+        size = int(rng.integers(0, 40))
+        picked = [words[min(9, int(rng.geometric(0.25)) - 1)] for _ in range(size)]
+        joints = rng.choice([" ", "  ", "\t", ". ", "\n", "; "], size, p=[.7, .1, .1, .04, .04, .02])
+        text = "".join(w + s for w, s in zip(picked, joints))
+        if rng.random() < 0.4:
+            text += " new York CITY hall"
+        texts.append((text, ["en", "fr", None][int(rng.integers(0, 3))]))
+    return texts
+
+
+@pytest.mark.parametrize("support, shards, bits", [(5, 3, 26), (2, 4, 26), (12, 1, 6)])
+def test_equals_plain_counting(rows, support, shards, bits):
+    """Also with a bitmap so small that it lets nearly everything through."""
+    texts = made(support)
+    assert run(table(rows, texts), support=support, shards=shards, bits=bits) == brute(texts, support)
+
+
+def test_edge_rows(rows):
+    texts = [(None, "en"), ("", None), (" \t ..", "en")] + [("Same words here. same WORDS", "en")] * 40
+    texts += [("und one", "und"), ("und one", None)] * 20 + [("lone", "fr"), ("a b\vc d " * 40, "de")]
+    assert run(table(rows, texts)) == brute(texts, 30)
+    assert run(table(rows, [])) == []
+    assert run(table(rows, [("nothing often", "en")])) == []
+    ties = [(f"w{i} v{i}", "en") for i in range(20)] * 30
+    got = run(table(rows, ties), top=5)
+    assert got == brute(ties, 30, 5) and [r[1] for r in got] == [1, 2, 3, 4, 5]
+
+
+def test_very_long_texts(rows, monkeypatch):
+    """Texts cut into slices where pieces end, and a piece that is longer than a slice."""
+    monkeypatch.setattr(co, "SLICE", 300)
+    texts = [("one two three. four five six; " * 100, "en"), ("seven eight nine " * 200, "en"), ("z" * 5000, "en")]
+    texts += made(9, 30)
+    assert run(table(rows, texts, 1)) == brute(texts, 30)
+
+
+def test_every_frequent_ngram_is_a_candidate(rows):
+    """The SON property, with shards of very unequal size."""
+    texts = [("hot cold " * 5, "en")] * 50 + made(4, 100)
+    docs = table(rows, texts).selectExpr("coalesce(lang, 'und') as lang", "cast(if(doc_id < 50, 0, doc_id % 5) as int) as shard",
+                                       "text")
+    found, totals = co.frequent_in_shards(docs, support=10)
+    counted = {(r.lang, r.phrase): r.f for r in co.exact_counts(docs, found, 10).collect()}
+    want = {}
+    f = defaultdict(Counter)
+    for text, lang in texts:
+        for piece in re.split("[.,;:!?\x0A-\x0D]", "".join(c.lower() if c.isascii() else c for c in text)):
+            words = re.findall("[^ \t]+", piece)
+            for k in range(1, 5):
+                f[lang or "und"].update(" ".join(words[i:i + k]) for i in range(len(words) - k + 1))
+    want = {(lang, p): n for lang, c in f.items() for p, n in c.items() if n >= 10}
+    assert counted == want
+
+
+def test_scores_beyond_64_bits(spark):
+    big = 10**13
+    counts = spark.createDataFrame([("en", "a b", 2, big), ("en", "a", 1, big + 7), ("en", "b", 1, 3 * big)],
+                                   "lang string, phrase string, k int, f long")
+    (row,) = co._scored(counts, co.SCALE, co.CONTAINED).collect()
+    assert row.score == 2_000_000 * big // (4 * big + 7)
