@@ -9,8 +9,12 @@ so Java's ``\\s`` is spelled out as a class where it matters.
 from __future__ import annotations
 
 from quire.functions import fixed_values as fv
+from quire.operators.all_pairs import BOUNDS as ALL_PAIRS_BOUNDS
+from quire.operators.network import DAMPING
 from quire.sources.tables import headed_text_sql
 
+PAGERANK_ROUNDS = 15  # of the registered query, on both sides
+
 _WS = r"[\t\n\x0B\f\r ]"  # Java's \s
 _CLEAN = r"[^a-zA-Z\t\n\x0B\f\r ]+"  # the cleaning rule with Java's \s spelled out
 
@@ -204,6 +208,54 @@ def _top_degree(column: str, k: int) -> str:
             f"ORDER BY {column} DESC, author LIMIT {int(k)}")
 
 
+# Every two documents that share a term: the cosine of their weights.
+ALL_PAIRS = f"""{TFIDF},
+norms AS (SELECT doc_id, sqrt(sum(tfidf * tfidf)) AS norm FROM w GROUP BY doc_id),
+unit AS (SELECT w.doc_id, term, tfidf / norm AS x FROM w JOIN norms USING (doc_id) WHERE tfidf <> 0),
+dots AS (
+  SELECT a.doc_id, b.doc_id AS similar_doc_id, round(sum(a.x * b.x), 6) AS similarity
+  FROM unit a JOIN unit b USING (term) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2)"""
+
+
+def _most_similar(k: int, bound: float) -> str:
+    return (f"WITH {ALL_PAIRS} SELECT doc_id, similar_doc_id, similarity, rank FROM (SELECT *, row_number() OVER ("
+            "PARTITION BY doc_id ORDER BY similarity DESC, similar_doc_id)::INTEGER AS rank FROM dots "
+            f"WHERE similarity > 0 AND similarity >= {bound}) WHERE rank <= {int(k)}")
+
+
+def _pagerank(rounds: int, damping: float) -> str:
+    steps = ["authors AS (SELECT DISTINCT author FROM author_years), total AS (SELECT count(*) AS n FROM authors)",
+             "outs AS (SELECT influencer, count(*) AS d FROM edges GROUP BY 1)",
+             "r0 AS MATERIALIZED (SELECT author, 1.0::DOUBLE / n AS r FROM authors, total)"]
+    for i in range(1, rounds + 1):
+        steps.append(f"""g{i} AS MATERIALIZED (
+  SELECT a.author, {damping} * coalesce(sum(r.r / o.d), 0) AS got FROM authors a
+  LEFT JOIN edges e ON e.influenced = a.author LEFT JOIN outs o ON o.influencer = e.influencer
+  LEFT JOIN r{i - 1} r ON r.author = e.influencer GROUP BY 1),
+r{i} AS MATERIALIZED (SELECT author, got + (1 - (SELECT sum(got) FROM g{i})) / n AS r FROM g{i}, total)""")
+    return ", ".join(steps) + f" SELECT author, round(r * n, 6) AS pagerank FROM r{rounds}, total"
+
+
+TRIANGLES = """both_ways AS (SELECT DISTINCT least(influencer, influenced) AS a, greatest(influencer, influenced) AS b FROM edges),
+sides AS (SELECT a, b FROM both_ways UNION ALL SELECT b, a FROM both_ways),
+near AS (SELECT a AS author, count(*) AS k FROM sides GROUP BY 1),
+closed AS (
+  SELECT x.a AS author, count(*) AS t FROM sides x JOIN sides y ON x.a = y.a AND x.b < y.b
+  JOIN both_ways u ON u.a = x.b AND u.b = y.b GROUP BY 1)
+SELECT au.author, coalesce(k, 0)::BIGINT AS neighbours, coalesce(t, 0)::BIGINT AS triangles,
+  CASE WHEN coalesce(k, 0) > 1 THEN round(coalesce(t, 0) / (k * (k - 1) / 2.0), 6) ELSE 0.0 END AS clustering
+FROM (SELECT DISTINCT author FROM author_years) au LEFT JOIN near USING (author) LEFT JOIN closed USING (author)"""
+
+STRONG_COMPONENTS = """reach AS (
+  SELECT influencer AS a, influenced AS b FROM edges
+  UNION SELECT r.a, e.influenced FROM reach r JOIN edges e ON e.influencer = r.b),
+named AS (
+  SELECT au.author, least(au.author, coalesce(min(x.b), au.author)) AS component
+  FROM (SELECT DISTINCT author FROM author_years) au
+  LEFT JOIN (SELECT f.a, f.b FROM reach f JOIN reach g ON f.a = g.b AND f.b = g.a) x ON x.a = au.author GROUP BY au.author)
+SELECT author, component, count(*) OVER (PARTITION BY component) AS size FROM named"""
+
+
 def oracle_queries(window: int = fv.TIME_WINDOW, top_k: int = fv.TOP_K,
                    top_authors: int = fv.TOP_AUTHORS_LIMIT, report_top: int = fv.REPORT_TOP,
                    preview_rows: int = fv.PREVIEW_ROWS, num_books: int = fv.NUM_BOOKS) -> dict[str, str]:
@@ -262,4 +314,11 @@ def oracle_queries(window: int = fv.TIME_WINDOW, top_k: int = fv.TOP_K,
             f"{fv.NUM_FEATURES}::DOUBLE UNION ALL SELECT 'config', 3, (SELECT t FROM target)::VARCHAR, NULL "
             f"UNION ALL (SELECT 'top_similar', row_number() OVER (ORDER BY similarity DESC, doc_id)::INTEGER, "
             f"doc_id::VARCHAR, similarity FROM sims ORDER BY similarity DESC, doc_id LIMIT {int(top_k)})"),
+        # every document against every other one
+        "most_similar_documents": _most_similar(top_k, ALL_PAIRS_BOUNDS[-1]),
+        "similarity_product": _most_similar(top_k, 0),
+        # measures of the network
+        "author_pagerank": net + ", " + _pagerank(PAGERANK_ROUNDS, DAMPING),
+        "author_triangles": net + ", " + TRIANGLES,
+        "author_components": net.replace("WITH", "WITH RECURSIVE", 1) + ", " + STRONG_COMPONENTS,
     }

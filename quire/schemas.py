@@ -43,6 +43,12 @@ QUERY_SCHEMAS: dict[str, str] = {
     "tfidf_hashed": "doc_id bigint, bucket int, weight double",
     "similar_documents_hashed": "doc_id bigint, similarity double",
     "similarity_summary": "section string, rank int, key string, value double",
+    "most_similar_documents": "doc_id bigint, similar_doc_id bigint, similarity double, rank int",
+    "similar_documents_lsh": "doc_id bigint, similar_doc_id bigint, similarity double, rank int",
+    "similarity_product": "doc_id bigint, similar_doc_id bigint, similarity double, rank int",
+    "author_pagerank": "author string, pagerank double",
+    "author_triangles": "author string, neighbours bigint, triangles bigint, clustering double",
+    "author_components": "author string, component string, size bigint",
 }
 
 
