@@ -12,9 +12,19 @@ def _executed(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_tf_shuffle_is_shared_between_tf_and_idf(spark, sf_smoke):
+def test_text_is_tokenized_once_for_tf_and_idf(spark, sf_smoke):
     plan = _executed(tfidf.tfidf_terms(tables.documents(spark, sf_smoke)))
-    assert "ReusedExchange" in plan  # one tokenization feeds both branches
+    assert "regexp_replace" not in plan  # counts and term table are read back as tables
+
+
+def test_a_term_of_most_documents_is_no_shuffle_key(spark):
+    """One term holds most rows of the term counts: it meets its weight by broadcast, the shuffle has the others."""
+    docs = spark.range(1000).selectExpr("id as doc_id", "if(id % 10 < 9, 'hot', concat('word', char(97 + id % 26))) as text")
+    weights = tfidf.tfidf_terms(docs)
+    plan = _executed(weights)
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+    terms = tfidf.tfidf_terms(docs).filter("term = 'hot'")
+    assert terms.count() == 900
 
 
 def test_preview_pushes_key_cutoff_to_parquet(spark, sf_smoke):
