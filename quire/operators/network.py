@@ -10,6 +10,10 @@ window); then its authors influence each other.
 * ``triangles``: every edge goes from the end of lower degree to the other, two edges out of one end are a
   wedge, and a join with the edges closes it. By this order a node has few edges out however many it has; the
   lists of those that still have many are cut into blocks that meet in pairs.
+* ``cores``: the core number of an author is the largest k for which a group of authors exists, this one among
+  them, each linked to k others of the group. It starts at the degree and is replaced by the h-index of the
+  neighbours' numbers until nothing changes. Neighbours are summed by number before they are ranked, so a hub
+  is as many rows as its neighbours have numbers.
 * ``strong_components``: nodes that cannot lie on a cycle are trimmed; every other node takes the largest
   name that reaches it, and those that reach the node of that name inside its colour are its component. These
   leave the graph, and the rest goes on: all colours at once.
@@ -22,7 +26,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import fixed_values as fv
@@ -150,6 +154,32 @@ def triangles(graph: ClassGraph, digits: int = 6) -> DataFrame:
     return _per_author(graph, values.withColumn("clustering", share))
 
 
+# -- cores ---------------------------------------------------------------------------------------
+
+def cores(graph: ClassGraph, rounds: int = 10_000) -> DataFrame:
+    """``(author, core)``: core numbers in the undirected network, 0 for authors without links."""
+    links = graph.edges.unionByName(graph.edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    own = F.when(F.col("a") == F.col("b"), 1).otherwise(0)
+    links = links.join(graph.nodes.select(F.col("cls").alias("b"), "n"), "b").select("a", "b", (F.col("n") - own).alias("m"))
+    links = materialize(links.filter("m > 0"), "links")
+    degree = links.groupBy(F.col("a").alias("cls")).agg(F.sum("m").alias("core"))
+    state, seen = materialize(degree, "cores"), None
+    upto = Window.partitionBy("a").orderBy(F.col("core").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    for _ in range(rounds):
+        now = state.agg(F.sum("core")).first()[0]  # numbers only fall: an equal sum means no change
+        if now == seen:
+            break
+        seen = now
+        by_number = links.join(state.select(F.col("cls").alias("b"), "core"), "b").groupBy("a", "core").agg(
+            F.sum("m").alias("m"))
+        reached = by_number.withColumn("many", F.sum("m").over(upto))
+        state = materialize(reached.groupBy(F.col("a").alias("cls")).agg(
+            F.max(F.least("core", "many")).alias("core")), "cores")
+    else:
+        raise RuntimeError(f"no fixed point after {rounds} rounds")
+    return graph.authors.join(state, "cls", "left").select("author", F.coalesce("core", F.lit(0)).cast("long").alias("core"))
+
+
 # -- strongly connected components ---------------------------------------------------------------
 
 def _spread(names: DataFrame, edges: DataFrame, rounds: int) -> DataFrame:

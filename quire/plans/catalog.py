@@ -215,6 +215,10 @@ def author_triangles(spark, sf_dir):
     return network.triangles(_graph(spark, sf_dir))
 
 
+def author_cores(spark, sf_dir):
+    return network.cores(_graph(spark, sf_dir))
+
+
 def author_components(spark, sf_dir):
     return network.strong_components(_graph(spark, sf_dir))
 
@@ -252,6 +256,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "author_pagerank": author_pagerank,
     "author_triangles": author_triangles,
     "author_components": author_components,
+    "author_cores": author_cores,
 }
 
 # Queries with no SQL twin: approximate results, held against the exact ones by tests.

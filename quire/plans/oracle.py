@@ -14,6 +14,7 @@ from quire.operators.network import DAMPING
 from quire.sources.tables import headed_text_sql
 
 PAGERANK_ROUNDS = 15  # of the registered query, on both sides
+CORE_ROUNDS = 40  # of the twin; the query itself goes on until nothing changes
 
 _WS = r"[\t\n\x0B\f\r ]"  # Java's \s
 _CLEAN = r"[^a-zA-Z\t\n\x0B\f\r ]+"  # the cleaning rule with Java's \s spelled out
@@ -246,6 +247,19 @@ SELECT au.author, coalesce(k, 0)::BIGINT AS neighbours, coalesce(t, 0)::BIGINT A
   CASE WHEN coalesce(k, 0) > 1 THEN round(coalesce(t, 0) / (k * (k - 1) / 2.0), 6) ELSE 0.0 END AS clustering
 FROM (SELECT DISTINCT author FROM author_years) au LEFT JOIN near USING (author) LEFT JOIN closed USING (author)"""
 
+def _cores(rounds: int) -> str:
+    """Peeling by the h-index of the neighbours, more rounds than the network needs."""
+    steps = ["both_ways AS (SELECT DISTINCT least(influencer, influenced) AS a, greatest(influencer, influenced) AS b FROM edges)",
+             "sides AS MATERIALIZED (SELECT a, b FROM both_ways UNION ALL SELECT b, a FROM both_ways)",
+             "c0 AS MATERIALIZED (SELECT a AS author, count(*) AS core FROM sides GROUP BY 1)"]
+    for i in range(1, rounds + 1):
+        steps.append(f"""c{i} AS MATERIALIZED (SELECT author, max(least(core, place)) AS core FROM (
+  SELECT s.a AS author, c.core, row_number() OVER (PARTITION BY s.a ORDER BY c.core DESC) AS place
+  FROM sides s JOIN c{i - 1} c ON c.author = s.b) GROUP BY 1)""")
+    return ", ".join(steps) + f""" SELECT au.author, coalesce(core, 0)::BIGINT AS core
+FROM (SELECT DISTINCT author FROM author_years) au LEFT JOIN c{rounds} USING (author)"""
+
+
 STRONG_COMPONENTS = """reach AS (
   SELECT influencer AS a, influenced AS b FROM edges
   UNION SELECT r.a, e.influenced FROM reach r JOIN edges e ON e.influencer = r.b),
@@ -319,6 +333,7 @@ def oracle_queries(window: int = fv.TIME_WINDOW, top_k: int = fv.TOP_K,
         "similarity_product": _most_similar(top_k, 0),
         # measures of the network
         "author_pagerank": net + ", " + _pagerank(PAGERANK_ROUNDS, DAMPING),
+        "author_cores": net + ", " + _cores(CORE_ROUNDS),
         "author_triangles": net + ", " + TRIANGLES,
         "author_components": net.replace("WITH", "WITH RECURSIVE", 1) + ", " + STRONG_COMPONENTS,
     }

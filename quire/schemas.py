@@ -49,6 +49,7 @@ QUERY_SCHEMAS: dict[str, str] = {
     "author_pagerank": "author string, pagerank double",
     "author_triangles": "author string, neighbours bigint, triangles bigint, clustering double",
     "author_components": "author string, component string, size bigint",
+    "author_cores": "author string, core bigint",
 }
 
 

@@ -81,6 +81,23 @@ def test_triangles(graph, monkeypatch, seed, window, block):
     assert all(got[a][:2] == want[a][:2] and abs(got[a][2] - want[a][2]) < 2e-6 for a in want)
 
 
+@pytest.mark.parametrize("seed, window", [(1, 10), (2, 3), (8, 1)])
+def test_cores(graph, seed, window):
+    rows = made(seed) + NULLS
+    out = edges(rows, window)
+    near = {a: {b for b in out if b in out[a] or a in out[b]} for a in out}
+    want, k = {}, 0
+    while near:  # peel what has too few links left
+        few = [a for a in near if len(near[a]) <= k]
+        if not few:
+            k += 1
+        for a in few:
+            want[a] = k
+            for b in near.pop(a):
+                near[b].discard(a)
+    assert {r.author: r.core for r in network.cores(graph(rows, window)).collect()} == want
+
+
 def reached(out, a):
     seen, todo = set(), [a]
     while todo:
@@ -118,6 +135,7 @@ def test_components_of_plain_graphs(spark):
 def test_no_authors_and_no_window(graph):
     empty = graph([])
     assert network.pagerank(empty).collect() == network.triangles(empty).collect() == network.strong_components(empty).collect() == []
+    assert network.cores(empty).collect() == []
     flat = graph(made(1), 0)
     assert {r.pagerank for r in network.pagerank(flat).collect()} == {1.0}
     assert {r.triangles for r in network.triangles(flat).collect()} == {0}
