@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import sys
+import types
 import unicodedata
 from collections import OrderedDict
 
@@ -109,6 +111,7 @@ class WordBpe:
         self.buffer = np.frombuffer(b"".join(raw.get(i, b"") + b" " for i in range(size)), np.uint8)
         lengths = np.array([len(raw.get(i, b"")) + 1 for i in range(size)], np.int64)
         self.offset = np.concatenate([[0], np.cumsum(lengths)])
+        self.decimal = [str(i) for i in range(size)]
 
     # -- encoding ------------------------------------------------------------------------------
 
@@ -231,18 +234,26 @@ def vocabulary(name_or_path: str = "word_bpe_49k.json") -> str:
 
 
 class _Lazy:
-    """The tables, built once in each task from the broadcast definition."""
+    """The tables, built from the broadcast definition once in each worker process.
+
+    A process that runs many tasks keeps them, with the words already encoded (``CACHE_WORDS``), in a
+    module of its own making; of several definitions it keeps the last one.
+    """
 
     def __init__(self, spec):
         self.spec, self.codec = spec, None
+        self.name = hashlib.sha256(spec.value.encode()).hexdigest()
 
     def __call__(self) -> WordBpe:
         if self.codec is None:
-            self.codec = WordBpe(self.spec.value)
+            kept = vars(sys.modules.setdefault("_quire_worker_tables", types.ModuleType("_quire_worker_tables")))
+            if kept.get("definition") != self.name:
+                kept["definition"], kept["codec"] = self.name, WordBpe(self.spec.value)
+            self.codec = kept["codec"]
         return self.codec
 
     def __getstate__(self):
-        return {"spec": self.spec, "codec": None}
+        return {"spec": self.spec, "codec": None, "name": self.name}
 
 
 def bpe_encode(docs: DataFrame, text: str = "text", ids: str = "ids",
@@ -306,8 +317,7 @@ def bpe_digests(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     def run(batch):
         bpe = codec()
-        number = [str(i) for i in range(len(bpe.offset) - 1)]
-        rows = [], [], []
+        number, rows = bpe.decimal, ([], [], [])
         for t in texts_of(batch.column(1)):
             ids = bpe.encode(t)
             rows[0].append(len(ids))
