@@ -17,6 +17,20 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strict_header(label: str, text: str | Column = "text") -> Column:
+    """Value of a header line that begins with ``label:``, trimmed; ``""`` when there is none.
+
+    Unlike the patterns of the default mode it never takes the next line's text for an empty value, does not
+    match inside another label (``Original Title:``), and reads a last line without a newline.
+    """
+    return F.regexp_extract(_col(text), rf"(?m)^{label}:[ \t]*(\S.*?)[ \t]*$", 1)
+
+
+def strict_release_date(text: str | Column = "text") -> Column:
+    """:func:`strict_header` of the release date, cut at ``[``."""
+    return F.trim(F.regexp_extract(_col(text), r"(?m)^Release Date:[ \t]*([^\[\r\n]*)", 1))
+
+
 def raw_title(text: str | Column = "text") -> Column:
     return F.regexp_extract(_col(text), fv.TITLE_PATTERN, 1)
 

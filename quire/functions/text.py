@@ -12,12 +12,14 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def clean_text(text: str | Column = "text") -> Column:
+def clean_text(text: str | Column = "text", letters: str = "ascii") -> Column:
     """Replace each run of non-letter, non-whitespace characters by one space, then lower-case.
 
-    Non-ASCII letters count as non-letters (``café`` -> ``caf``), exactly like the original rule.
+    Non-ASCII letters count as non-letters (``café`` -> ``caf``), exactly like the original rule;
+    ``letters="unicode"`` keeps the letters of every script.
     """
-    return F.lower(F.regexp_replace(_col(text), fv.CLEAN_PATTERN_JAVA, " "))
+    patterns = {"ascii": fv.CLEAN_PATTERN_JAVA, "unicode": fv.CLEAN_PATTERN_UNICODE}
+    return F.lower(F.regexp_replace(_col(text), patterns[letters], " "))
 
 
 def tokens(clean: str | Column) -> Column:

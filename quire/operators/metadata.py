@@ -17,12 +17,20 @@ from quire.functions import text as tx
 METADATA_COLUMNS = ("title", "author", "year", "language", "encoding", "release_date")
 
 
-def extract_metadata(books: DataFrame, key: str = "file_name", text: str = "text") -> DataFrame:
+def extract_metadata(books: DataFrame, key: str = "file_name", text: str = "text", strict: bool = False) -> DataFrame:
     """``(key, title, author, year int, language, encoding, release_date)`` per book.
 
     Missing title/author/language/encoding/year are null; a missing release date is ``""``.
-    The year is the first four digits of the extracted release date.
+    The year is the first four digits of the extracted release date. ``strict`` reads header lines one by
+    one (:func:`quire.functions.metadata.strict_header`) instead of keeping the quirks of the patterns.
     """
+    if strict:
+        date = md.strict_release_date(text)
+        value = lambda label: md.empty_to_null(md.strict_header(label, text))
+        return books.select(
+            F.col(key), value("Title").alias("title"), value("Author").alias("author"),
+            md.year_from_date(date).alias("year"), value("Language").alias("language"),
+            value("Character set encoding").alias("encoding"), date.alias("release_date"))
     date = md.release_date(text)
     # a plain projection, so a profile that reads one column computes only that regex
     return books.select(

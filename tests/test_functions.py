@@ -125,3 +125,34 @@ def test_java_clean_pattern_equals_rule(spark, sf_smoke):
     a = docs.select(F.regexp_replace("text", fv.CLEAN_PATTERN, " ").alias("x"))
     b = docs.select(F.regexp_replace("text", fv.CLEAN_PATTERN_JAVA, " ").alias("x"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_strict_headers_take_no_other_line(spark):
+    from quire.operators.metadata import extract_metadata
+
+    texts = {
+        1: "Title: \nAuthor: Nobody\nRelease Date: June 1, 1905 [EBook #2701]\nLanguage: English",
+        2: "Original Title: Old\r\nTitle:  New book \r\nAuthor:\tA. B.\r\nRelease Date: [EBook #12345]\r\n",
+        3: "no header", 4: "", 5: None, 6: "Character set encoding: UTF-8", 7: "x\nTitle: Last line",
+    }
+    books = spark.createDataFrame(list(texts.items()), "file_name int, text string")
+    strict = {r.file_name: tuple(r)[1:] for r in extract_metadata(books, strict=True).collect()}
+    none = (None, None, None, None, None)
+    assert strict[1] == (None, "Nobody", 1905, "English", None, "June 1, 1905")
+    assert strict[2] == ("New book", "A. B.", None, None, None, "")
+    assert strict[3] == strict[4] == (*none, "") and strict[5] == (*none, None)
+    assert strict[6] == (None, None, None, None, "UTF-8", "") and strict[7] == ("Last line", *none[:4], "")
+    usual = {r.file_name: tuple(r)[1:] for r in extract_metadata(books).collect()}
+    assert usual[1][:2] == ("Author: Nobody", "Nobody") and usual[2][0] == "Old" and usual[7][0] is None
+
+
+def test_letters_of_every_script_on_request(spark):
+    from quire.operators import terms, tfidf
+
+    docs = spark.createDataFrame([(1, "Café ÉTÉ 12 naïve-ish 日本 the"), (2, None), (3, "cafe")], "doc_id int, text string")
+    unicode = {r.term for r in terms.term_frequencies(docs, letters="unicode").collect()}
+    assert unicode == {"café", "été", "naïve", "ish", "日本", "cafe"}
+    assert {r.term for r in terms.term_frequencies(docs).collect()} == {"caf", "t", "na", "ve", "ish", "cafe"} - {"t"}
+    words = {r.doc_id: r.words for r in terms.tokenize(docs, letters="unicode").collect()}
+    assert "été" in words[1] and words[2] == [""]
+    assert {r.term for r in tfidf.tfidf_terms(docs, letters="unicode").collect()} == unicode
