@@ -162,3 +162,26 @@ def _shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
         else:
             out.append(np.zeros(0, np.uint64))
     return out
+
+
+def bitmap(keys: DataFrame, bits: int) -> np.ndarray:
+    """Bitmap of 64-bit hashes (column ``h``): the bits named by their first and by their last ``bits`` (at most
+    32) are set. At most ``2 ** bits / 64`` numbers reach the driver."""
+    at = F.expr(f"explode(array(shiftrightunsigned(h, {64 - bits}), h & {2 ** bits - 1}L))").alias("at")
+    words = keys.select(at).groupBy(F.expr("shiftright(at, 6)").alias("at")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("w"))
+    table = words.toArrow()
+    out = np.zeros(max(1, (1 << bits) >> 6), np.uint64)
+    if table.num_rows:
+        out[table.column("at").to_numpy()] = table.column("w").to_numpy().view(np.uint64)
+    return out
+
+
+def in_bitmap(marked: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
+    """Whether both bits of each key are set: true for every key of the bitmap and, by chance, for some others."""
+    def bit(at):
+        return (marked[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)
+    out = bit(keys >> np.uint64(64 - bits)) == 1
+    first = np.flatnonzero(out)
+    out[first] = bit(keys[first] & np.uint64(2 ** bits - 1)) == 1
+    return out

@@ -3,7 +3,8 @@
 A large-star step links every larger neighbour of a node to the smallest node around it, a
 small-star step does so for the smaller ones; both keep connectivity, and the edges end as one
 star around the smallest node of each component. Every step is an aggregation and an equi-join on
-nodes: a hub's edges are pre-aggregated before the shuffle and its join side can be split.
+nodes: a hub's edges are pre-aggregated before the shuffle, but meet their minimum in one task (two
+identifiers a row; Spark's skew join does not split a join behind an aggregate).
 """
 
 from __future__ import annotations

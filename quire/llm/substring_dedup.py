@@ -3,9 +3,11 @@
 A gear rolling hash of the last ``WINDOW`` characters is taken at every character. A chunk ends
 where that hash is the largest within ``REACH`` characters to both sides, moved to the next word
 border: so borders depend on nearby text only, and an insertion shifts later text without changing
-its chunks. Chunks average 2 ``REACH`` + 1 characters and are deduplicated by digest over the whole
-corpus: the first occurrence (smallest key, then text hash, then place) stays. Runs of repeated
-chunks of at least ``RUN_WORDS`` words (or ``RUN_CHARS`` characters, for scripts without spaces) are
+its chunks. Chunks average 2 ``REACH`` + 1 characters. What is deduplicated by digest over the whole corpus
+is ``JOINED`` chunks in a row (all chunks of a shorter text; a chunk of ``LONG_CHUNK`` characters also alone), so
+a repeat is a stretch that stood elsewhere as it is, not chunks from here and there: the first occurrence
+(smallest key, then text hash, then place) stays. Runs of overlapping repeats of at least
+``RUN_WORDS`` words (or ``RUN_CHARS`` characters, for scripts without spaces) are
 cut out. A verbatim passage loses at most its fringes to chunks that reach beyond it (the window, the
 reach, a word and what is left to the next border on both sides), so a passage of over 50 words that
 stands anywhere before is found, while short phrases and single common lines stay. Borders have no
@@ -13,9 +15,11 @@ greatest distance, so this is not certain: of 40,000 passages of 51 words of the
 missed, of 4,000 with words of one to five letters one was. (Text that only repeats one short unit
 has no border inside: such a run is one chunk, found only where it repeats in its whole length.)
 
-Scale: digests are counted with partial aggregation, only digests that repeat are looked at again,
-and only for them is the first place sought (an aggregation, then an equi-join whose hot keys can
-be split). Text is shuffled once, to meet its own cuts.
+Scale: digests are counted with partial aggregation. Those that repeat are marked in a bitmap of
+``FILTER_BITS`` bits, a fixed size that is broadcast, and only the chunks it lets through are shuffled (a few
+that stand once are among them, and are their own first place). The first places are an aggregation and a
+table of their own, so the join to them is of two plain tables, whose hot keys Spark can split. Text is
+shuffled once, to meet its own cuts.
 
 Defined results: null text counts as empty and stays as it is; a text that is all repeats becomes
 empty, its row stays; rows equal in key and text are one row and get the same result; the first of
@@ -25,15 +29,19 @@ several repeats inside one text stays.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import arrow_map, mix64, row_hash, texts_of
+from quire.llm.common import arrow_map, bitmap, in_bitmap, mix64, row_hash, texts_of
 from quire.session import materialize
 
 WINDOW, REACH = 8, 10
 SNAP = 24  # a border moves at most so far to the next word
 RUN_WORDS, RUN_CHARS = 25, 400
+JOINED = 3  # chunks in a row that must have stood together
+LONG_CHUNK = 100  # characters
+FILTER_BITS = 26  # a bitmap of 8 MB
 
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 
@@ -101,16 +109,40 @@ def chunks(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     return [(border[a:b + 1] - s, digest[a:b]) for a, b, s in zip(first, last, start)]
 
 
-def repeated_spans(text: str, border: np.ndarray, repeated: np.ndarray, run_words: int = RUN_WORDS,
+def units(border: np.ndarray, digest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Digests that are compared, and their places: of JOINED chunks from chunk p on (place p), and of long
+    chunks p alone (place p + number of chunks)."""
+    n = len(digest)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int32)
+    size = min(JOINED, n)
+    d = digest.view(np.uint64)
+    joined = np.full(n - size + 1, size, np.uint64)
+    for k in range(size):
+        joined = mix64(joined * _BASE + d[k:n - size + 1 + k])
+    long = np.flatnonzero(np.diff(border) >= LONG_CHUNK) if n > 1 else np.zeros(0, np.int64)
+    return (np.concatenate([joined, mix64(d[long] + _BASE)]).view(np.int64),
+            np.concatenate([np.arange(len(joined)), n + long]).astype(np.int32))
+
+
+def repeated_spans(text: str, border: np.ndarray, places: np.ndarray, run_words: int = RUN_WORDS,
                    run_chars: int = RUN_CHARS) -> list[tuple[int, int]]:
-    """Spans of the runs of repeated chunks (given by place) that are long enough."""
-    flag = np.zeros(len(border) + 1, np.int8)
-    flag[np.asarray(repeated) + 1] = 1
-    change = np.flatnonzero(np.diff(flag))
-    spans = []
-    for a, b in zip(change[::2].tolist(), change[1::2].tolist()):
+    """Spans of the repeats that are long enough; ``places`` are those of repeated units.
+
+    Units that start at successive chunks overlap and make one run; others are judged each on its own.
+    """
+    n, places = len(border) - 1, np.unique(places)
+    joined, size = places[places < n], min(JOINED, n)
+    breaks = np.flatnonzero(np.diff(joined) > 1)
+    firsts = joined[np.concatenate([[0], breaks + 1])] if len(joined) else joined
+    lasts = joined[np.concatenate([breaks, [len(joined) - 1]])] + size if len(joined) else joined
+    long = places[places >= n] - n
+    spans: list[tuple[int, int]] = []
+    for a, b in sorted(zip(np.concatenate([firsts, long]).tolist(), np.concatenate([lasts, long + 1]).tolist())):
         s, e = int(border[a]), int(border[b])
         if e - s >= run_chars or len(text[s:e].split()) >= run_words:
+            if spans and s <= spans[-1][1]:
+                s, e = spans[-1][0], max(e, spans.pop()[1])
             spans.append((s, e))
     return spans
 
@@ -122,21 +154,34 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def repeated_chunks(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``(key, rh, drop)``: for each text with repeats, the places of its chunks that stood before."""
+    """``(key, rh, drop)``: for each text with repeats, the places of its units that stood before."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batch):
-        found = chunks(texts_of(batch.column(2)))
-        return {"key": batch.column(0), "rh": batch.column(1), "digests": [d for _, d in found]}
+        found = [units(border, digest) for border, digest in chunks(texts_of(batch.column(2)))]
+        return {"key": batch.column(0), "rh": batch.column(1), "digests": [d for d, _ in found],
+                "places": [p for _, p in found]}
 
     table = materialize(arrow_map(
         docs.select(F.col(key).alias("key"), row_hash(key, text).alias("rh"), F.col(text).alias("text")),
-        run, f"key {kind}, rh long, digests array<long>"), "chunks")
-    again = table.select(F.explode("digests").alias("digest")).groupBy("digest").agg(
-        F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest")
-    places = table.select("key", "rh", F.posexplode("digests").alias("place", "digest"))
-    places = materialize(places.join(again, "digest", "left_semi"), "repeats")
-    first = places.groupBy("digest").agg(F.min(F.struct("key", "rh", "place")).alias("first"))
+        run, f"key {kind}, rh long, digests array<long>, places array<int>"), "chunks")
+    again = table.select(F.explode("digests").alias("h")).groupBy("h").agg(
+        F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
+    marked = docs.sparkSession.sparkContext.broadcast(bitmap(again, FILTER_BITS))
+
+    def look(batch):
+        digests = batch.column(2)
+        sizes = digests.value_lengths().to_numpy(zero_copy_only=False)
+        values = digests.flatten().to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        place = batch.column(3).flatten().to_numpy(zero_copy_only=False)
+        seen = np.flatnonzero(in_bitmap(marked.value, values.view(np.uint64), FILTER_BITS))
+        rows = pa.array(row[seen])
+        return {"key": batch.column(0).take(rows), "rh": batch.column(1).take(rows),
+                "place": place[seen], "digest": values[seen]}
+
+    places = materialize(arrow_map(table, look, f"key {kind}, rh long, place int, digest long"), "repeats")
+    first = materialize(places.groupBy("digest").agg(F.min(F.struct("key", "rh", "place")).alias("first")), "firsts")
     later = places.join(first, "digest").filter(~(
         F.col("first.key").eqNullSafe(F.col("key")) & (F.col("first.rh") == F.col("rh"))
         & (F.col("first.place") == F.col("place"))))

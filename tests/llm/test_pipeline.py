@@ -13,6 +13,7 @@ from quire.llm import mixing, quality, substring_dedup as sd
 from quire.llm.queries import ORACLES, QUERIES
 from tests.llm.test_jaccard_join import brute
 from tests.llm.test_mixing import earliest_deadline_first
+from tests.llm.test_substring_dedup import slow_units
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,7 +22,7 @@ def test_stages_and_registration():
     assert list(entry.queries())[-1] == "pipeline"
     assert len(corpus_pipeline.STAGES) == 5
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
@@ -36,12 +37,12 @@ def plain(spark):
     data = [(k, r["text"]) for k, r in sorted(rows.items())]
     _, lowest, _ = brute(data)
     rows = {k: rows[k] for i, (k, _) in enumerate(data) if lowest[i] == k}
-    # 1: chunks in order of ids
+    # 1: chunks in a row, in order of ids
     seen: set = set()
     for k in sorted(rows):
         text = rows[k]["text"]
         (border, digest), = sd.chunks([text])
-        again = [i for i, d in enumerate(digest.tolist()) if d in seen or seen.add(d)]
+        again = [i for d, i in slow_units(digest.tolist(), border.tolist()) if d in seen or seen.add(d)]
         if again:
             rows[k]["text"] = sd.without(text, sd.repeated_spans(text, border, np.array(again)))
     # 3: earliest deadline first, source by source in order of salts

@@ -93,12 +93,69 @@ def test_passages_of_51_short_words_are_found():
     passages = [words(51) for _ in range(1000)]
     before, after = ([f"{words(40)} {p} {words(40)}" for p in passages] for _ in range(2))
     missed = 0
-    for text, (_, first), (border, digest) in zip(after, sd.chunks(before), sd.chunks(after)):
-        again = np.flatnonzero(np.isin(digest, first))
+    for text, first, (border, digest) in zip(after, sd.chunks(before), sd.chunks(after)):
+        found, places = sd.units(border, digest)
+        again = places[np.isin(found, sd.units(*first)[0])]
         missed += not len(sd.repeated_spans(text, border, again))
     assert missed == 0
 
 
+def test_chunks_from_here_and_there_are_no_repeat(rows):
+    """A text whose every chunk stood before, each in another text, never two or three together."""
+    parts = [prose(40) for _ in range(60)]
+    pieces = []
+    for text, (border, _) in zip(parts, sd.chunks(parts)):
+        middle = len(border) // 2
+        pieces.append(text[border[middle]:border[middle + 1]])
+    mixed = "".join(p if p[-1:].isspace() else p + " " for p in pieces)
+    docs = rows([(i, p, 0, "") for i, p in enumerate(parts)] + [(1000, mixed, 0, "")], SCHEMA)
+    out = {r.doc_id: r for r in sd.substring_dedup(docs).collect()}
+    assert out[1000].text == mixed and not out[1000].removed_spans
+
+
+def test_every_span_stood_elsewhere_as_it_is(rows):
+    """Replay on documents: what goes is found, white space aside, piece by piece in one earlier text."""
+    docs = rows([(i, t, 0, "") for i, t in replay_texts()], SCHEMA)
+    texts = dict(replay_texts())
+    flat = {i: " ".join(t.split()) for i, t in texts.items()}
+    spans = stitched = 0
+    for r in sd.substring_dedup(docs).collect():
+        for s in r.removed_spans:
+            words = texts[r.doc_id][s.start:s.end].split()
+            spans += 1
+            stitched += not any(" ".join(words[1:-1]) in f for i, f in flat.items() if i != r.doc_id) and not (
+                flat[r.doc_id].count(" ".join(words[1:-1])) > 1)
+    assert spans > 50 and stitched == 0
+
+
+def replay_texts():
+    """Texts over few words, so that chunks repeat by chance, and passages copied among them."""
+    rng = random.Random(11)
+    vocab = ["".join(rng.choice("abcdef") for _ in range(rng.randint(1, 3))) for _ in range(60)]
+    words = lambda n: " ".join(rng.choice(vocab) for _ in range(n))
+    passages = [words(70) for _ in range(10)]
+    return [(i, f"{words(300)} {rng.choice(passages) if i % 3 == 0 else ''} {words(100)}") for i in range(250)]
+
+
+def slow_units(digests, border):
+    """Units as plain tuples with their places."""
+    n = len(digests)
+    size = min(sd.JOINED, n)
+    out = [(tuple(digests[i:i + size]), i) for i in range(n - size + 1)] if n else []
+    return out + [((d, "alone"), n + i) for i, d in enumerate(digests) if n > 1 and border[i + 1] - border[i] >= sd.LONG_CHUNK]
+
+
+def test_units_equal_plain_tuples():
+    texts = [prose(n) for n in (1, 3, 10, 200)] + ["z" * 5000 + " " + prose(40), "z" * 5000, ""]
+    seen, plain = {}, {}
+    for border, digest in sd.chunks(texts):
+        found, places = sd.units(border, digest)
+        slow = slow_units(digest.tolist(), border.tolist())
+        assert places.tolist() == [p for _, p in slow]
+        for u, (t, _) in zip(found.tolist(), slow):
+            assert seen.setdefault(u, t) == t and plain.setdefault(t, u) == u
+
+
 def test_whole_copies_become_empty(rows):
     text = prose(120)
     out = {r.doc_id: r.text for r in sd.substring_dedup(
