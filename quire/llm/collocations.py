@@ -16,7 +16,7 @@ are counted over all documents, exactly, as text.
   as the phrase, so the same table holds the counts of all parts. Every sum is taken per batch and per
   task before the shuffle, so a very common phrase is a few rows of each task.
 
-Text is read four times and never shuffled. Splitting, scores and the dropping of contained phrases are
+Text is read five times and never shuffled. Splitting, scores and the dropping of contained phrases are
 equi-joins on (language, phrase).
 
 Defined results: null and empty texts have no words; a null language is ``und``; repeated rows count
@@ -34,17 +34,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import mix64
+from quire.llm.common import bitmap, in_bitmap, mix64
 from quire.session import materialize
 
 SUPPORT = 30
 LONGEST = 4
-SHARDS = 6
-FILTER_BITS = 26  # 2 ** 26 bits: a bitmap of 8 MB
+SHARDS = 2
+FILTER_BITS = 27  # 2 ** 27 bits: a bitmap of 16 MB
 CONTAINED = 80  # per cent of a phrase's occurrences that lie in a longer one, from which it is dropped
 SCALE = 2_000_000
 TOP = 2000
 SLICE = 1_000_000  # bytes
+HELD = 100_000  # phrases that a task sums up before it passes them on
 SALTS = 32  # of a language's phrases in the first ranking
 
 _KIND = np.zeros(256, np.uint8)  # 0: of a word, 1: between words, 2: between pieces
@@ -61,8 +62,8 @@ def _powers(base: int, size: int) -> np.ndarray:
 
 
 class Words:
-    """The words of a slice of texts: where each begins and ends in ``data``, its piece and row, and
-    ``grams[k]``, hashes of the k words from each on (no use where they leave the piece)."""
+    """The words of a slice of texts: where each begins and ends in ``data``, its piece and row; ``hashes`` of
+    the k words from each on (no use where they leave the piece)."""
 
     def __init__(self, slices: list[tuple[int, bytes]], tables: tuple[np.ndarray, np.ndarray]):
         self.data = _LOWER[np.frombuffer(b"\n".join(t for _, t in slices) + b"\n", np.uint8)]
@@ -74,15 +75,14 @@ class Words:
         ends = np.cumsum([len(t) + 1 for _, t in slices])
         self.row = np.array([r for r, _ in slices])[np.searchsorted(ends, self.begin, "right")]
         self.tables = tables
-        self.grams = self.hashes(_KEYS)
 
-    def hashes(self, keys: np.ndarray) -> dict[int, np.ndarray]:
-        """64-bit hashes of the runs of 1 to LONGEST words from each word on, by a table of byte keys."""
+    def hashes(self, keys: np.ndarray, longest: int) -> dict[int, np.ndarray]:
+        """64-bit hashes of the runs of 1 to ``longest`` words from each word on, by a table of byte keys."""
         power, inverse = self.tables
         total = np.concatenate([[np.uint64(0)], np.cumsum(keys[self.data] * power[:len(self.data)], dtype=np.uint64)])
         one = mix64((total[self.end] - total[self.begin]) * inverse[self.begin])
         grams = {1: one}
-        for k in range(2, LONGEST + 1):
+        for k in range(2, longest + 1):
             longer = one.copy()
             n = max(0, len(one) - k + 1)
             longer[:n] = mix64(grams[k - 1][:n] * np.uint64(0xD6E8FEB86659FD93) + one[k - 1:] + np.uint64(k))
@@ -125,20 +125,29 @@ def _seeds(names: list[str]) -> np.ndarray:
     return out
 
 
-def _in_bitmap(bitmap: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
-    at = keys >> np.uint64(64 - bits)
-    return (bitmap[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+def _unmixed(x: np.ndarray) -> np.ndarray:
+    """What ``mix64`` made ``x`` of."""
+    for shift, factor in ((31, 0x94D049BB133111EB), (27, 0xBF58476D1CE4E5B9)):
+        x = (x ^ (x >> np.uint64(shift)) ^ (x >> np.uint64(2 * shift))) * np.uint64(pow(factor, -1, 2**64))
+    return x ^ (x >> np.uint64(31)) ^ (x >> np.uint64(62))
 
 
-def _counted(texts: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """Rows of ``function(words, seeds of rows, group numbers of rows)`` for the texts, slice by slice."""
+def _counted(texts: DataFrame, counter: Callable, schema: str) -> DataFrame:
+    """Rows of ``count(words, seeds of groups, group of each word, groups)`` for every slice of the texts.
+
+    ``counter()`` gives each task its ``count``, which may hold rows back, and None or what gives the rest.
+    """
     target = texts.sparkSession.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(target)
 
+    def made(out):
+        return pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+
     def run(batches):
         tables = [np.zeros(0, np.uint64)] * 2
+        count, rest = counter()
         for batch in batches:
             langs, shards, body = (batch.column(i).to_pylist() for i in range(3))
             names = sorted(set(zip(langs, shards)))
@@ -150,48 +159,37 @@ def _counted(texts: DataFrame, function: Callable, schema: str) -> DataFrame:
                 if len(tables[0]) <= need:
                     tables = [_powers(_BASE, need), _powers(pow(_BASE, -1, 2**64), need)]
                 words = Words(part, tuple(tables))
-                if len(words.begin):
-                    out = function(words, seeds, group[words.row], names)
-                    yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+                if len(words.begin) and (out := count(words, seeds, group[words.row], names)):
+                    yield made(out)
+        if rest and (out := rest()):
+            yield made(out)
 
     return texts.mapInArrow(run, target)
 
 
-def _bitmap(keys: DataFrame, bits: int) -> np.ndarray:
-    """Bitmap of 64-bit keys (column ``h``): at most ``2 ** bits / 64`` numbers reach the driver."""
-    words = keys.select(F.expr(f"shiftrightunsigned(h, {64 - bits})").alias("at")).groupBy(
-        F.expr("shiftright(at, 6)").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(at & 63 as int)))").alias("w"))
-    table = words.toArrow()
-    out = np.zeros(max(1, (1 << bits) >> 6), np.uint64)
-    if table.num_rows:
-        out[table.column("at").to_numpy()] = table.column("w").to_numpy().view(np.uint64)
-    return out
-
-
 # -- mining the shards ---------------------------------------------------------------------------
 
-def _mine(texts: DataFrame, k: int, bitmap, bits: int) -> DataFrame:
+def _mine(texts: DataFrame, k: int, marked, bits: int) -> DataFrame:
     """``(lang, shard, h, n)``: n-grams of k words whose two parts pass the shard's bitmap."""
     def count(words, seeds, group, names):
-        at = words.places(k)
-        if bitmap is not None:
-            seen = _in_bitmap(bitmap.value, mix64(words.grams[k - 1] ^ seeds[group]), bits)
+        at, grams = words.places(k), words.hashes(_KEYS, k)
+        if marked is not None:
+            seen = in_bitmap(marked.value, mix64(grams[k - 1] ^ seeds[group]), bits)
             at = at[seen[at] & seen[at + 1]]
-        keys = mix64(words.grams[k][at] ^ seeds[group[at]])
+        keys = mix64(grams[k][at] ^ seeds[group[at]])
         keys, first, n = np.unique(keys, return_index=True, return_counts=True)
         of = group[at][first]
         return {"lang": pa.array([g for g, _ in names]).take(pa.array(of)),
-                "shard": np.array([s for _, s in names], np.int32)[of],
-                "g": words.grams[k][at][first].view(np.int64), "h": keys.view(np.int64), "n": n}
+                "shard": np.array([s for _, s in names], np.int32)[of], "h": keys.view(np.int64), "n": n}
 
-    return _counted(texts, count, "lang string, shard int, g long, h long, n long").groupBy(
-        "lang", "shard", "g", "h").agg(F.sum("n").alias("n"))
+    return _counted(texts, lambda: (count, None), "lang string, shard int, h long, n long").groupBy("lang", "shard", "h").agg(
+        F.sum("n").alias("n"))
 
 
 def frequent_in_shards(texts: DataFrame, support: int = SUPPORT, bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
-    """``(lang, k, g)`` of every n-gram that is frequent in a shard, and ``(lang, n)`` words.
+    """``(lang, shard, h)`` of every n-gram that is frequent in a shard, and ``(lang, n)`` words.
 
-    ``g`` is the hash of the n-gram; the table may hold more than the frequent ones, never fewer.
+    ``h`` is the hash of n-gram, language and shard; the table may hold more than the frequent ones, never fewer.
     """
     spark = texts.sparkSession
     one = materialize(_mine(texts, 1, None, bits), "words")
@@ -203,43 +201,69 @@ def frequent_in_shards(texts: DataFrame, support: int = SUPPORT, bits: int = FIL
     found, counts = None, one
     for k in range(1, LONGEST + 1):
         if k > 1:
-            counts = _mine(texts, k, spark.sparkContext.broadcast(bitmap), bits)
+            counts = _mine(texts, k, spark.sparkContext.broadcast(marked), bits)
         frequent = materialize(counts.join(lowered, ["lang", "shard"]).filter("n >= least")
-                               .select("lang", F.lit(k).alias("k"), "g", "h"), f"frequent{k}")
-        bitmap = _bitmap(frequent, bits) if k < LONGEST else None
+                               .select("lang", "shard", "h"), f"frequent{k}")
+        marked = bitmap(frequent, bits) if k < LONGEST else None
         found = frequent if found is None else found.unionByName(frequent)
-    return found.select("lang", "k", "g"), totals
+    return found, totals
 
 
 # -- exact counts --------------------------------------------------------------------------------
 
 def exact_counts(texts: DataFrame, candidates: DataFrame, support: int = SUPPORT, bits: int = FILTER_BITS) -> DataFrame:
     """``(lang, phrase, k, f)`` of all candidates (and words) that stand ``support`` times."""
-    # one bitmap for all languages: what passes for another's sake is counted too, which does no harm
-    bitmap = texts.sparkSession.sparkContext.broadcast(_bitmap(candidates.select(F.col("g").alias("h")), bits))
-
-    def count(words, seeds, group, names):
-        out = {"lang": [], "phrase": [], "k": [], "f": []}
-        data, more = words.data.tobytes(), words.hashes(_MORE_KEYS)
-        for k in range(1, LONGEST + 1):
-            at = words.places(k)
-            at = at[_in_bitmap(bitmap.value, words.grams[k][at], bits)]
-            # equal phrases of one group: by two independent hashes, 128 bits
-            keys, second = mix64(words.grams[k][at] ^ seeds[group[at]]), more[k][at]
-            order = np.lexsort((second, keys))
-            at, keys, second = at[order], keys[order], second[order]
-            new = np.ones(len(at), bool)
-            new[1:] = (keys[1:] != keys[:-1]) | (second[1:] != second[:-1])
-            firsts = np.flatnonzero(new)
-            for i, f in zip(at[firsts].tolist(), np.diff(np.append(firsts, len(at))).tolist()):
-                out["lang"].append(names[group[i]][0])
-                out["phrase"].append(b" ".join([data[words.begin[j]:words.end[j]] for j in range(i, i + k)]))
-                out["k"].append(k)
-                out["f"].append(f)
-        out["phrase"] = [p.decode("utf-8", "surrogatepass") for p in out["phrase"]]
-        return out
-
-    return _counted(texts, count, "lang string, phrase string, k int, f long").groupBy("lang", "phrase").agg(
+    def of_language(batches):  # the shard is taken out of the hash again
+        for batch in batches:
+            pairs = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            number = {n: i for i, n in enumerate(sorted(set(pairs)))}
+            of = np.array([number[p] for p in pairs], np.int64)
+            gram = _unmixed(batch.column(2).to_numpy().view(np.uint64)) ^ _seeds([f"{s}:{g}" for g, s in number])[of]
+            key = mix64(gram ^ _seeds([f":{g}" for g, _ in number])[of])
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], names=["h"])
+
+    marked = texts.sparkSession.sparkContext.broadcast(
+        bitmap(candidates.select("lang", "shard", "h").mapInArrow(of_language, "h long"), bits))
+
+    def counter():
+        held: dict[tuple[int, int], list] = {}  # of this task: what is met again is not spelt out again
+
+        def count(words, seeds, group, names):
+            seeds = _seeds([f":{g}" for g, _ in names])
+            data, grams = words.data.tobytes(), words.hashes(_KEYS, LONGEST)
+            more = words.hashes(_MORE_KEYS, 1)[1]
+            begin, end, of = words.begin.tolist(), words.end.tolist(), group.tolist()
+            for k in range(1, LONGEST + 1):
+                at = words.places(k)
+                keys = mix64(grams[k][at] ^ seeds[group[at]])
+                seen = in_bitmap(marked.value, keys, bits)
+                # equal phrases of one language: by two independent hashes, 128 bits
+                order = np.argsort(keys[seen])
+                at, keys = at[seen][order], keys[seen][order]
+                second = more[at]
+                for j in range(1, k):
+                    second = mix64(second * np.uint64(_BASE) + more[at + j])
+                new = np.ones(len(at), bool)
+                new[1:] = (keys[1:] != keys[:-1]) | (second[1:] != second[:-1])
+                firsts = np.flatnonzero(new)
+                for i, x, y, f in zip(at[firsts].tolist(), keys[firsts].tolist(), second[firsts].tolist(),
+                                      np.diff(np.append(firsts, len(at))).tolist()):
+                    known = held.get((x, y))
+                    if known is None:
+                        phrase = b" ".join([data[begin[j]:end[j]] for j in range(i, i + k)])
+                        held[x, y] = [f, k, names[of[i]][0], phrase.decode("utf-8", "surrogatepass")]
+                    else:
+                        known[0] += f
+            return drained() if len(held) >= HELD else None
+
+        def drained():
+            out = dict(zip(("f", "k", "lang", "phrase"), zip(*held.values())))
+            held.clear()
+            return out or None
+
+        return count, drained
+
+    return _counted(texts, counter, "lang string, phrase string, k int, f long").groupBy("lang", "phrase").agg(
         F.first("k").alias("k"), F.sum("f").alias("f")).filter(F.col("f") >= support)
 
 

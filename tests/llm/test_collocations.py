@@ -108,6 +108,11 @@ def test_every_frequent_ngram_is_a_candidate(rows):
     assert counted == want
 
 
+def test_hashes_are_unmixed():
+    x = np.random.default_rng(2).integers(0, 2**63, 1000, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    assert (co._unmixed(co.mix64(x)) == x).all()
+
+
 def test_scores_beyond_64_bits(spark):
     big = 10**13
     counts = spark.createDataFrame([("en", "a b", 2, big), ("en", "a", 1, big + 7), ("en", "b", 1, 3 * big)],
