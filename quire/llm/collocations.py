@@ -45,7 +45,8 @@ CONTAINED = 80  # per cent of a phrase's occurrences that lie in a longer one, f
 SCALE = 2_000_000
 TOP = 2000
 SLICE = 1_000_000  # bytes
-HELD = 100_000  # phrases that a task sums up before it passes them on
+ROWS = 500  # texts that are Python strings at a time
+HELD = 50_000  # phrases that a task sums up before it passes them on
 SALTS = 32  # of a language's phrases in the first ranking
 
 _KIND = np.zeros(256, np.uint8)  # 0: of a word, 1: between words, 2: between pieces
@@ -148,7 +149,7 @@ def _counted(texts: DataFrame, counter: Callable, schema: str) -> DataFrame:
     def run(batches):
         tables = [np.zeros(0, np.uint64)] * 2
         count, rest = counter()
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             langs, shards, body = (batch.column(i).to_pylist() for i in range(3))
             names = sorted(set(zip(langs, shards)))
             number = {n: i for i, n in enumerate(names)}
@@ -232,7 +233,7 @@ def exact_counts(texts: DataFrame, candidates: DataFrame, support: int = SUPPORT
             seeds = _seeds([f":{g}" for g, _ in names])
             data, grams = words.data.tobytes(), words.hashes(_KEYS, LONGEST)
             more = words.hashes(_MORE_KEYS, 1)[1]
-            begin, end, of = words.begin.tolist(), words.end.tolist(), group.tolist()
+            begin, end = words.begin.tolist(), words.end.tolist()
             for k in range(1, LONGEST + 1):
                 at = words.places(k)
                 keys = mix64(grams[k][at] ^ seeds[group[at]])
@@ -251,7 +252,7 @@ def exact_counts(texts: DataFrame, candidates: DataFrame, support: int = SUPPORT
                     known = held.get((x, y))
                     if known is None:
                         phrase = b" ".join([data[begin[j]:end[j]] for j in range(i, i + k)])
-                        held[x, y] = [f, k, names[of[i]][0], phrase.decode("utf-8", "surrogatepass")]
+                        held[x, y] = [f, k, names[group[i]][0], phrase.decode("utf-8", "surrogatepass")]
                     else:
                         known[0] += f
             return drained() if len(held) >= HELD else None
