@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quire.llm.common import bitmap, in_bitmap, mix64
+from quire.llm.common import bitmap, give_back, in_bitmap, mix64
 from quire.session import materialize
 
 SUPPORT = 30
@@ -46,7 +46,9 @@ SCALE = 2_000_000
 TOP = 2000
 SLICE = 1_000_000  # bytes
 ROWS = 500  # texts that are Python strings at a time
-HELD = 50_000  # phrases that a task sums up before it passes them on
+HELD = 400_000  # hashes that a task sums up before it passes them on
+SPELT = 50_000  # phrases that are spelt out at a time
+HELD_BYTES = 8_000_000  # of texts that they stand in
 SALTS = 32  # of a language's phrases in the first ranking
 
 _KIND = np.zeros(256, np.uint8)  # 0: of a word, 1: between words, 2: between pieces
@@ -90,6 +92,15 @@ class Words:
             grams[k] = longer
         return grams
 
+    def spelt(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The texts with one space after each word of a piece and no other blanks, and where each word begins and
+        ends there: a phrase is what lies from its first to its last word."""
+        blank = _KIND[self.data] == 1
+        before = np.concatenate([[True], ~blank[:-1] & (_KIND[self.data[:-1]] == 2) | blank[:-1]])
+        kept = ~(blank & before)
+        place = np.cumsum(kept, dtype=np.int32) - 1
+        return np.where(blank, np.uint8(0x20), self.data)[kept], place[self.begin], place[self.end - 1] + 1
+
     def places(self, k: int) -> np.ndarray:
         """Words from which k words of one piece go on."""
         n = len(self.begin) - k + 1
@@ -136,7 +147,8 @@ def _unmixed(x: np.ndarray) -> np.ndarray:
 def _counted(texts: DataFrame, counter: Callable, schema: str) -> DataFrame:
     """Rows of ``count(words, seeds of groups, group of each word, groups)`` for every slice of the texts.
 
-    ``counter()`` gives each task its ``count``, which may hold rows back, and None or what gives the rest.
+    ``counter()`` gives each task its ``count``, which may hold rows back, and what gives the rest; both give lists of
+    columns.
     """
     target = texts.sparkSession.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -160,31 +172,66 @@ def _counted(texts: DataFrame, counter: Callable, schema: str) -> DataFrame:
                 if len(tables[0]) <= need:
                     tables = [_powers(_BASE, need), _powers(pow(_BASE, -1, 2**64), need)]
                 words = Words(part, tuple(tables))
-                if len(words.begin) and (out := count(words, seeds, group[words.row], names)):
-                    yield made(out)
-        if rest and (out := rest()):
-            yield made(out)
+                if len(words.begin):
+                    yield from map(made, count(words, seeds, group[words.row], names))
+        yield from map(made, rest())
+        del tables
+        give_back()
 
     return texts.mapInArrow(run, target)
 
 
 # -- mining the shards ---------------------------------------------------------------------------
 
+def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Parts of (hash, count, other columns) as one: a row a hash with its sum, other columns of its first row."""
+    keys, n, *other = parts[0] if len(parts) == 1 else [np.concatenate(c) for c in zip(*parts)]
+    order = np.argsort(keys)
+    keys = keys[order]
+    firsts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    total = np.add.reduceat(n[order], firsts) if len(keys) else n
+    return keys[firsts], total, *[c[order[firsts]] for c in other]
+
+
 def _mine(texts: DataFrame, k: int, marked, bits: int) -> DataFrame:
-    """``(lang, shard, h, n)``: n-grams of k words whose two parts pass the shard's bitmap."""
-    def count(words, seeds, group, names):
-        at, grams = words.places(k), words.hashes(_KEYS, k)
-        if marked is not None:
-            seen = in_bitmap(marked.value, mix64(grams[k - 1] ^ seeds[group]), bits)
-            at = at[seen[at] & seen[at + 1]]
-        keys = mix64(grams[k][at] ^ seeds[group[at]])
-        keys, first, n = np.unique(keys, return_index=True, return_counts=True)
-        of = group[at][first]
-        return {"lang": pa.array([g for g, _ in names]).take(pa.array(of)),
-                "shard": np.array([s for _, s in names], np.int32)[of], "h": keys.view(np.int64), "n": n}
-
-    return _counted(texts, lambda: (count, None), "lang string, shard int, h long, n long").groupBy("lang", "shard", "h").agg(
-        F.sum("n").alias("n"))
+    """``(g, h, n)``: n-grams of k words whose two parts pass the shard's bitmap; g is the seed of language and shard.
+    Single words come with ``lang`` and ``shard``."""
+    named = k == 1
+    schema = ("lang string, shard int, " if named else "") + "g long, h long, n long"
+
+    def counter():
+        held, size, known = [], 0, {}
+
+        def count(words, seeds, group, names):
+            nonlocal size
+            at, grams = words.places(k), words.hashes(_KEYS, k)
+            if marked is not None:
+                seen = in_bitmap(marked.value, mix64(grams[k - 1] ^ seeds[group]), bits)
+                at = at[seen[at] & seen[at + 1]]
+            code = np.array([known.setdefault(n, (len(known), seed))[0] for n, seed in zip(names, seeds.tolist())], np.int32)
+            keys = mix64(grams[k][at] ^ seeds[group[at]])
+            held.append(_summed([(keys, np.ones(len(keys), np.int64), code[group[at]])]))
+            size += len(held[-1][0])
+            return drained() if size >= HELD else []
+
+        def drained():
+            nonlocal size
+            if not size:
+                return []
+            keys, n, of = _summed(held)
+            held.clear()
+            size = 0
+            g = np.array([seed for _, seed in known.values()], np.uint64).view(np.int64)
+            out = {"g": g[of], "h": keys.view(np.int64), "n": n}
+            if named:
+                out |= {"lang": pa.array([g for g, _ in known]).take(pa.array(of)),
+                        "shard": np.array([s for _, s in known], np.int32)[of]}
+            return [out]
+
+        return count, drained
+
+    by = ["lang", "shard", "g", "h"] if named else ["g", "h"]
+    return _counted(texts, counter, schema).groupBy(*by).agg(F.sum("n").alias("n"))
 
 
 def frequent_in_shards(texts: DataFrame, support: int = SUPPORT, bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
@@ -194,16 +241,16 @@ def frequent_in_shards(texts: DataFrame, support: int = SUPPORT, bits: int = FIL
     """
     spark = texts.sparkSession
     one = materialize(_mine(texts, 1, None, bits), "words")
-    sizes = one.groupBy("lang", "shard").agg(F.sum("n").alias("m"))
+    sizes = one.groupBy("lang", "shard", "g").agg(F.sum("n").alias("m"))
     totals = sizes.groupBy("lang").agg(F.sum("m").alias("n"))
     # the smallest whole count that is at least the shard's share of the support
     share = F.expr(f"cast((cast({support} as decimal(38,0)) * m + n - 1) div n as long)")
-    lowered = materialize(sizes.join(totals, "lang").select("lang", "shard", share.alias("least")), "support")
+    lowered = materialize(sizes.join(totals, "lang").select("lang", "shard", "g", share.alias("least")), "support")
     found, counts = None, one
     for k in range(1, LONGEST + 1):
         if k > 1:
             counts = _mine(texts, k, spark.sparkContext.broadcast(marked), bits)
-        frequent = materialize(counts.join(lowered, ["lang", "shard"]).filter("n >= least")
+        frequent = materialize(counts.select("g", "h", "n").join(lowered, "g").filter("n >= least")
                                .select("lang", "shard", "h"), f"frequent{k}")
         marked = bitmap(frequent, bits) if k < LONGEST else None
         found = frequent if found is None else found.unionByName(frequent)
@@ -227,40 +274,60 @@ def exact_counts(texts: DataFrame, candidates: DataFrame, support: int = SUPPORT
         bitmap(candidates.select("lang", "shard", "h").mapInArrow(of_language, "h long"), bits))
 
     def counter():
-        held: dict[tuple[int, int], list] = {}  # of this task: what is met again is not spelt out again
+        held, size = [], 0  # of this task: hashes summed over slices, and where the phrase of each stands
+        spelt, length, known = [], 0, {}
 
         def count(words, seeds, group, names):
+            nonlocal size, length
             seeds = _seeds([f":{g}" for g, _ in names])
-            data, grams = words.data.tobytes(), words.hashes(_KEYS, LONGEST)
-            more = words.hashes(_MORE_KEYS, 1)[1]
-            begin, end = words.begin.tolist(), words.end.tolist()
+            code = np.array([known.setdefault(g, len(known)) for g, _ in names], np.int32)
+            grams, more = words.hashes(_KEYS, LONGEST), words.hashes(_MORE_KEYS, 1)[1]
+            text, begin, end = words.spelt()
             for k in range(1, LONGEST + 1):
                 at = words.places(k)
                 keys = mix64(grams[k][at] ^ seeds[group[at]])
                 seen = in_bitmap(marked.value, keys, bits)
+                at, keys = at[seen], keys[seen]
                 # equal phrases of one language: by two independent hashes, 128 bits
-                order = np.argsort(keys[seen])
-                at, keys = at[seen][order], keys[seen][order]
                 second = more[at]
                 for j in range(1, k):
                     second = mix64(second * np.uint64(_BASE) + more[at + j])
-                new = np.ones(len(at), bool)
-                new[1:] = (keys[1:] != keys[:-1]) | (second[1:] != second[:-1])
-                firsts = np.flatnonzero(new)
-                for i, x, y, f in zip(at[firsts].tolist(), keys[firsts].tolist(), second[firsts].tolist(),
-                                      np.diff(np.append(firsts, len(at))).tolist()):
-                    known = held.get((x, y))
-                    if known is None:
-                        phrase = b" ".join([data[begin[j]:end[j]] for j in range(i, i + k)])
-                        held[x, y] = [f, k, names[group[i]][0], phrase.decode("utf-8", "surrogatepass")]
-                    else:
-                        known[0] += f
-            return drained() if len(held) >= HELD else None
+                held.append(equal([(keys, second, np.ones(len(at), np.int64), begin[at].astype(np.int64) + length,
+                                    end[at + k - 1] - begin[at], np.full(len(at), k, np.int8), code[group[at]])]))
+                size += len(held[-1][0])
+            spelt.append(text)
+            length += len(text)
+            return drained() if size >= HELD or length >= HELD_BYTES else []
+
+        def equal(parts):
+            keys, second, f, *other = parts[0] if len(parts) == 1 else [np.concatenate(c) for c in zip(*parts)]
+            order = np.argsort(keys)
+            new = np.ones(len(order), bool)
+            new[1:] = (keys[order[1:]] != keys[order[:-1]]) | (second[order[1:]] != second[order[:-1]])
+            firsts = np.flatnonzero(new)
+            first = order[firsts]
+            total = np.add.reduceat(f[order], firsts) if len(firsts) else f
+            return keys[first], second[first], total, *[c[first] for c in other]
 
         def drained():
-            out = dict(zip(("f", "k", "lang", "phrase"), zip(*held.values())))
+            nonlocal size, length
+            out = []
+            if size:
+                _, _, f, start, many, k, lang = equal(held)
+                held.clear()
+                text = np.concatenate(spelt)
+                langs = pa.array(list(known))
+                for i in range(0, len(f), SPELT):
+                    part = slice(i, i + SPELT)
+                    offset = np.concatenate([[0], np.cumsum(many[part], dtype=np.int64)])
+                    at = np.arange(offset[-1]) + np.repeat(start[part] - offset[:-1], many[part])
+                    phrase = pa.StringArray.from_buffers(len(offset) - 1, pa.py_buffer(offset.astype(np.int32)), pa.py_buffer(text[at]))
+                    out.append({"f": f[part], "k": k[part].astype(np.int32), "lang": langs.take(pa.array(lang[part])),
+                                "phrase": phrase})
             held.clear()
-            return out or None
+            spelt.clear()
+            size = length = 0
+            return out
 
         return count, drained
 

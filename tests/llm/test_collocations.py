@@ -119,3 +119,14 @@ def test_scores_beyond_64_bits(spark):
                                    "lang string, phrase string, k int, f long")
     (row,) = co._scored(counts, co.SCALE, co.CONTAINED).collect()
     assert row.score == 2_000_000 * big // (4 * big + 7)
+
+
+def test_phrases_stand_in_the_spelt_text():
+    """Blanks of any number and kind are one space inside a piece; hashes of several slices are summed in numpy."""
+    words = co.Words([(0, b" One\t two  THREE. four"), (1, b"\tfive , six\t\t")], (co._powers(co._BASE, 99), co._powers(pow(co._BASE, -1, 2**64), 99)))
+    text, begin, end = words.spelt()
+    assert [bytes(text[i:j]) for i, j in zip(begin, end)] == [b"one", b"two", b"three", b"four", b"five", b"six"]
+    assert bytes(text[begin[0]:end[2]]) == b"one two three"
+    part = lambda *keys: (np.array(keys, np.uint64), np.ones(len(keys), np.int64))
+    assert [c.tolist() for c in co._summed([part(3, 1, 3), part(1, 9)])] == [[1, 3, 9], [2, 2, 1]]
+    assert [c.tolist() for c in co._summed([part()])] == [[], []]
