@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from quire.llm.common import arrow_map, fold
 
 PASSAGE = 256
+BATCH = 200_000  # bytes of text whose passages are arrays at a time: they take some 80 bytes a byte
 TRAIN_ROWS = 4000
 TRAIN_PASSAGES = 64  # of a training document, evenly spaced; scoring reads them all
 HIDDEN, GATE = 16, 8
@@ -144,7 +145,7 @@ def training_bags(docs: DataFrame, labels: DataFrame, key: str, text: str, label
         return {"k": batch.column(0), "y": batch.column(2), "bag": [b.tobytes() for b in thin]}
 
     kind = docs.schema[key].dataType.simpleString()
-    rows = arrow_map(found, run, f"k {kind}, y int, bag binary").orderBy(
+    rows = arrow_map(found, run, f"k {kind}, y int, bag binary", BATCH).orderBy(
         F.xxhash64("k"), "k", "y", "bag").collect()
     return ([np.frombuffer(r.bag, np.uint16).reshape(-1, FEATURES) for r in rows],
             np.array([r.y for r in rows], np.float32))
@@ -165,4 +166,4 @@ def quality_scores(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
         scores = score(model, texts).astype(float) if model else np.full(len(texts), 0.5)
         return {f.name: batch.column(i) for f, i in zip(kept, at)} | {"quality_score": scores}
 
-    return arrow_map(docs, run, schema)
+    return arrow_map(docs, run, schema, BATCH)

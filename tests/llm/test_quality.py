@@ -52,3 +52,12 @@ def test_edge_rows(rows):
     out = {(r.doc_id, r.text): r.quality_score for r in quality.quality_scores(docs, labels).collect()}
     assert len(out) == 3 and out[1, None] == out[None, ""]
     assert quality.quality_scores(rows([], docs.schema), labels).collect() == []
+
+
+def test_passages_of_few_bytes_at_a_time(spark):
+    """The arrays of a batch take some 80 times its bytes: batches of the classifier are small."""
+    from quire.llm import quality
+    from quire.llm.common import arrow_map
+    docs = spark.createDataFrame([(i, "word " * 1000) for i in range(400)], "doc_id long, text string").coalesce(1)
+    sizes = arrow_map(docs, lambda b: {"n": [b.nbytes]}, "n long", quality.BATCH).collect()
+    assert sum(r.n for r in sizes) > 2_000_000 and max(r.n for r in sizes) <= 1.2 * quality.BATCH
