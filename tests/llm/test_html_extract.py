@@ -118,3 +118,39 @@ def test_very_long_page():
     page = "<article><p>" + "many words here <b>and</b> there " * 100_000 + "</p><p class=x" + "\"" * 50_000 + ">end</p></article>"
     (text,) = he.main_texts([page])
     assert text.startswith("many words here and there") and text.endswith("there end") and len(text) > 2_500_000
+
+
+def test_boilerplate_is_counted_over_the_host(rows, monkeypatch):
+    """A large host gives the texts that one block of all its pages gives, at shares near the bounds."""
+    rng = random.Random(7)
+    lines = {i: f"line {i} " + prose(12) for i in range(40)}
+    data = []
+    for i in range(240):
+        shared = [lines[j] for j in range(40) if rng.random() < (0.1 + j / 200 if j < 30 else 0.4 + j / 200)]
+        body = "".join(f"<p>{x}</p>" for x in [prose(5), *shared])
+        data.append((i, f"http://one.com/{i}", f"<article>{body}</article>" if i % 2 else f"<div>{body}</div>"))
+    data += [data[0]] * 3 + [(1000, "http://one.com/x", None), (1001, "http://two.com/", "<p>alone</p>")]
+    want = sorted(zip([d[0] for d in data[:-1]], he.main_texts([d[2] or "" for d in data[:-1]]))) + [(1001, "alone")]
+    table = rows(data, "page_id long, url string, html string")
+    plain = "".join(t for _, t in want)
+    assert any(x in plain for x in lines.values()) and not all(x in plain for x in lines.values())
+    for pages in (256, 60, 13, 3):
+        monkeypatch.setattr(he, "BLOCK_PAGES", pages)
+        assert sorted((r.page_id, r.text) for r in he.extract_main_text(table).collect()) == want, pages
+
+
+def test_runs_cover_the_same_tokens_by_hash_and_by_suffix():
+    streams = [[RNG.choice("ab") for _ in range(RNG.randint(0, 60))] for _ in range(12)] + [[], list("abababab")]
+    hashes, offset = he.coded(streams)
+    at, page = he.places(offset)
+    runs = he.run_hashes(hashes, at)
+    pages = {r: len(set(page[runs == r])) for r in runs}
+    three = np.array([r for r, n in pages.items() if n >= 3], np.uint64)
+    (got,) = he.frequent_in_pages(streams, three)
+    assert [g.tolist() for g in got] == [(c >= 3).tolist() for c in he.page_counts(streams)]
+
+
+def test_codes_are_unpacked():
+    for n in range(20):
+        codes = np.array([RNG.randrange(16) for _ in range(n)], np.uint8)
+        assert he.unpacked(he.packed(codes)).tolist() == codes.tolist()
