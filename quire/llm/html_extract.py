@@ -46,7 +46,7 @@ LONG = 8  # tokens
 OUTSIDE, OUTSIDE_PAGES = 0.2, 3
 INSIDE, INSIDE_PAGES = 0.5, 20
 BLOCK_PAGES, BLOCK_BYTES = 256, 8_000_000
-FILTER_BITS = 27  # 2 ** 27 bits: a bitmap of 16 MB
+FILTER_BITS = 25  # 2 ** 25 bits: a bitmap of 4 MB
 
 # a quote opens a value only after an equals sign; any other one is part of a name or value, and the tag
 # ends at the next ">"; an element name ends at white space, "/" or ">"; a closed svg has no content
