@@ -7,14 +7,15 @@ are counted over all documents, exactly, as text.
 
 * Shards are dealt by a hash of the text; their number is a parameter, not a function of the data,
   because a lowered support of one would make every phrase frequent. A shard is mined by all tasks:
-  n-grams are hashed and counted in numpy within a task, the counts are summed by Spark.
-* Mining goes by length: an n-gram is counted only if its first and its last n - 1 words are frequent
-  in the shard. Tasks look that up in a bitmap of ``FILTER_BITS`` bits, the one thing that is
-  broadcast; its size is a parameter. Collisions, of hashes or in the bitmap, only let more through.
-* The exact count reads the texts once more; of the n-grams (and words) that the candidates' bitmap
-  lets through, it sums counts by language and phrase text. Parts of a phrase are at least as frequent
-  as the phrase, so the same table holds the counts of all parts. Every sum is taken per batch and per
-  task before the shuffle, so a very common phrase is a few rows of each task.
+  n-grams are hashed (128 bits) and counted in numpy within a task, the counts are summed by Spark.
+* Mining goes by length: an n-gram is counted, in every shard, only if its first and its last n - 1 words
+  stand ``SUPPORT`` times in the language. Tasks look that up in a bitmap of ``FILTER_BITS`` bits, the one
+  thing that is broadcast; its size is a parameter. Collisions in it only let more through.
+* So what the shards count of a candidate is all of it: their sum is the exact count. Parts of a phrase are
+  at least as frequent as the phrase, so the same table holds the counts of all parts.
+* Every sum remembers one slot (a hash of the text, ``SLOT_BITS`` bits) in which the n-gram stands. The texts
+  are read once more to spell the phrases out, each from the texts of its slot alone: about one row a phrase,
+  not one of every task that has it.
 
 Text is read five times and never shuffled. Splitting, scores and the dropping of contained phrases are
 equi-joins on (language, phrase).
@@ -41,6 +42,7 @@ SUPPORT = 30
 LONGEST = 4
 SHARDS = 2
 FILTER_BITS = 27  # 2 ** 27 bits: a bitmap of 16 MB
+SLOT_BITS = 16
 CONTAINED = 80  # per cent of a phrase's occurrences that lie in a longer one, from which it is dropped
 SCALE = 2_000_000
 TOP = 2000
@@ -92,6 +94,15 @@ class Words:
             grams[k] = longer
         return grams
 
+    def hashes_beside(self, longest: int) -> dict[int, np.ndarray]:
+        """64 more bits for each of ``hashes``, independent of them."""
+        one = self.hashes(_MORE_KEYS, 1)[1]
+        grams = {1: one}
+        for k in range(2, longest + 1):
+            n = max(0, len(one) - k + 1)
+            grams[k] = mix64(grams[k - 1][:n] * np.uint64(_BASE) + one[k - 1:])
+        return grams
+
     def spelt(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The texts with one space after each word of a piece and no other blanks, and where each word begins and
         ends there: a phrase is what lies from its first to its last word."""
@@ -145,7 +156,8 @@ def _unmixed(x: np.ndarray) -> np.ndarray:
 
 
 def _counted(texts: DataFrame, counter: Callable, schema: str) -> DataFrame:
-    """Rows of ``count(words, seeds of groups, group of each word, groups)`` for every slice of the texts.
+    """Rows of ``count(words, seeds of languages, group of each word, groups, slot of each word)`` for every slice of
+    the texts.
 
     ``counter()`` gives each task its ``count``, which may hold rows back, and what gives the rest; both give lists of
     columns.
@@ -154,6 +166,7 @@ def _counted(texts: DataFrame, counter: Callable, schema: str) -> DataFrame:
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(target)
+    slot = f"cast(shiftrightunsigned(xxhash64(coalesce(text, '')), {64 - SLOT_BITS}) as int) as slot"
 
     def made(out):
         return pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
@@ -163,54 +176,64 @@ def _counted(texts: DataFrame, counter: Callable, schema: str) -> DataFrame:
         count, rest = counter()
         for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             langs, shards, body = (batch.column(i).to_pylist() for i in range(3))
+            slots = batch.column(3).to_numpy()
             names = sorted(set(zip(langs, shards)))
             number = {n: i for i, n in enumerate(names)}
             group = np.array([number[g, s] for g, s in zip(langs, shards)])
-            seeds = _seeds([f"{s}:{g}" for g, s in names])
+            seeds = _seeds([f":{g}" for g, _ in names])
             for part in slices_of(body):
                 need = sum(len(t) + 1 for _, t in part)
                 if len(tables[0]) <= need:
                     tables = [_powers(_BASE, need), _powers(pow(_BASE, -1, 2**64), need)]
                 words = Words(part, tuple(tables))
                 if len(words.begin):
-                    yield from map(made, count(words, seeds, group[words.row], names))
+                    yield from map(made, count(words, seeds, group[words.row], names, slots[words.row]))
         yield from map(made, rest())
         del tables
         give_back()
 
-    return texts.mapInArrow(run, target)
+    return texts.selectExpr("lang", "shard", "text", slot).mapInArrow(run, target)
 
 
 # -- mining the shards ---------------------------------------------------------------------------
 
-def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    """Parts of (hash, count, other columns) as one: a row a hash with its sum, other columns of its first row."""
-    keys, n, *other = parts[0] if len(parts) == 1 else [np.concatenate(c) for c in zip(*parts)]
-    order = np.argsort(keys)
-    keys = keys[order]
-    firsts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    total = np.add.reduceat(n[order], firsts) if len(keys) else n
-    return keys[firsts], total, *[c[order[firsts]] for c in other]
-
-
-def _mine(texts: DataFrame, k: int, marked, bits: int) -> DataFrame:
-    """``(g, h, n)``: n-grams of k words whose two parts pass the shard's bitmap; g is the seed of language and shard.
-    Single words come with ``lang`` and ``shard``."""
+def _summed(parts: list[tuple[np.ndarray, ...]], keys: int = 1) -> tuple[np.ndarray, ...]:
+    """Parts of (hash, other keys, count, other columns) as one: a row for each of the keys with its sum, other columns
+    of its first row. Keys whose hashes are equal may stay several rows."""
+    columns = parts[0] if len(parts) == 1 else [np.concatenate(c) for c in zip(*parts)]
+    order = np.argsort(columns[0])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for key in columns[:keys]:
+        key = key[order]
+        new[1:] |= key[1:] != key[:-1]
+    firsts = np.flatnonzero(new)
+    first = order[firsts]
+    total = np.add.reduceat(columns[keys][order], firsts) if len(firsts) else columns[keys]
+    return *[c[first] for c in columns[:keys]], total, *[c[first] for c in columns[keys + 1:]]
+
+
+def _mine(texts: DataFrame, k: int, marked, bits: int, shards: list[int]) -> DataFrame:
+    """``(l, h, h2, slot, n0, n1, ..)``: n-grams of k words whose two parts pass the bitmap, with their count in each
+    shard; l is the seed of the language. Single words come with ``lang``."""
     named = k == 1
-    schema = ("lang string, shard int, " if named else "") + "g long, h long, n long"
+    schema = ("lang string, " if named else "") + "l long, shard int, h long, h2 long, n long, slot int"
 
     def counter():
         held, size, known = [], 0, {}
 
-        def count(words, seeds, group, names):
+        def count(words, seeds, group, names, slot):
             nonlocal size
-            at, grams = words.places(k), words.hashes(_KEYS, k)
+            at, grams, beside = words.places(k), words.hashes(_KEYS, k), words.hashes_beside(k)[k]
             if marked is not None:
                 seen = in_bitmap(marked.value, mix64(grams[k - 1] ^ seeds[group]), bits)
                 at = at[seen[at] & seen[at + 1]]
-            code = np.array([known.setdefault(n, (len(known), seed))[0] for n, seed in zip(names, seeds.tolist())], np.int32)
-            keys = mix64(grams[k][at] ^ seeds[group[at]])
-            held.append(_summed([(keys, np.ones(len(keys), np.int64), code[group[at]])]))
+            own = _seeds([f"{s}:{g}" for g, s in names])
+            code = np.array([known.setdefault(n, (len(known), *pair))[0]
+                             for n, *pair in zip(names, seeds.tolist(), own.tolist())], np.int32)
+            # hashed with the shard, for sums within it
+            keys = mix64(grams[k][at] ^ own[group[at]])
+            held.append(_summed([(keys, beside[at], np.ones(len(at), np.int64), code[group[at]], slot[at])], 2))
             size += len(held[-1][0])
             return drained() if size >= HELD else []
 
@@ -218,112 +241,101 @@ def _mine(texts: DataFrame, k: int, marked, bits: int) -> DataFrame:
             nonlocal size
             if not size:
                 return []
-            keys, n, of = _summed(held)
+            keys, beside, n, of, slot = _summed(held, 2)
             held.clear()
             size = 0
-            g = np.array([seed for _, seed in known.values()], np.uint64).view(np.int64)
-            out = {"g": g[of], "h": keys.view(np.int64), "n": n}
+            language, own = (np.array([v[i] for v in known.values()], np.uint64) for i in (1, 2))
+            h = mix64(_unmixed(keys) ^ (own ^ language)[of])  # the shard is taken out of the hash again
+            out = {"l": language.view(np.int64)[of], "shard": np.array([s for _, s in known], np.int32)[of],
+                   "h": h.view(np.int64), "h2": beside.view(np.int64), "n": n, "slot": slot}
             if named:
-                out |= {"lang": pa.array([g for g, _ in known]).take(pa.array(of)),
-                        "shard": np.array([s for _, s in known], np.int32)[of]}
+                out["lang"] = pa.array([g for g, _ in known]).take(pa.array(of))
             return [out]
 
         return count, drained
 
-    by = ["lang", "shard", "g", "h"] if named else ["g", "h"]
-    return _counted(texts, counter, schema).groupBy(*by).agg(F.sum("n").alias("n"))
+    by = ["lang"] * named + ["l", "h", "h2"]
+    counts = [F.expr(f"sum(if(shard = {s}, n, 0L))").alias(f"n{i}") for i, s in enumerate(shards)]
+    return _counted(texts, counter, schema).groupBy(*by).agg(F.min("slot").alias("slot"), *counts)
 
 
-def frequent_in_shards(texts: DataFrame, support: int = SUPPORT, bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
-    """``(lang, shard, h)`` of every n-gram that is frequent in a shard, and ``(lang, n)`` words.
+def frequent_in_shards(texts: DataFrame, support: int = SUPPORT, bits: int = FILTER_BITS,
+                       shards: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(lang, k, h, h2, f, slot)`` of every n-gram that is frequent in a shard and stands ``support`` times in all,
+    and ``(lang, n)`` words.
 
-    ``h`` is the hash of n-gram, language and shard; the table may hold more than the frequent ones, never fewer.
+    ``h`` and ``h2`` are hashes of n-gram and language, f its count, ``slot`` a slot of texts that has it. Shards are
+    numbered from 0 if their number is given.
     """
     spark = texts.sparkSession
-    one = materialize(_mine(texts, 1, None, bits), "words")
-    sizes = one.groupBy("lang", "shard", "g").agg(F.sum("n").alias("m"))
-    totals = sizes.groupBy("lang").agg(F.sum("m").alias("n"))
+    numbers = list(range(shards)) if shards else sorted(r[0] for r in texts.select("shard").distinct().collect())
+    one = materialize(_mine(texts, 1, None, bits, numbers), "words")
+    every = range(len(numbers))
+    sizes = one.groupBy("lang", "l").agg(*[F.sum(f"n{i}").alias(f"m{i}") for i in every])
+    sizes = sizes.withColumn("n", F.expr(" + ".join(["0L", *[f"m{i}" for i in every]])))
     # the smallest whole count that is at least the shard's share of the support
-    share = F.expr(f"cast((cast({support} as decimal(38,0)) * m + n - 1) div n as long)")
-    lowered = materialize(sizes.join(totals, "lang").select("lang", "shard", "g", share.alias("least")), "support")
-    found, counts = None, one
+    share = "cast((cast({s} as decimal(38,0)) * m{i} + n - 1) div n as long) as least{i}"
+    lowered = materialize(sizes.selectExpr("lang", "l", "n", *[share.format(s=support, i=i) for i in every]), "support")
+    candidate = " or ".join(["false", *[f"(n{i} > 0 and n{i} >= least{i})" for i in every]])
+    total = " + ".join(["0L", *[f"n{i}" for i in every]])
+    found, counts = None, one.drop("lang")
     for k in range(1, LONGEST + 1):
         if k > 1:
-            counts = _mine(texts, k, spark.sparkContext.broadcast(marked), bits)
-        frequent = materialize(counts.select("g", "h", "n").join(lowered, "g").filter("n >= least")
-                               .select("lang", "shard", "h"), f"frequent{k}")
+            counts = _mine(texts, k, spark.sparkContext.broadcast(marked), bits, numbers)
+        frequent = counts.join(lowered.drop("n"), "l").filter(candidate).selectExpr(
+            "lang", f"{k} as k", "h", "h2", f"{total} as f", "slot").filter(F.col("f") >= support)
+        frequent = materialize(frequent, f"frequent{k}")
         marked = bitmap(frequent, bits) if k < LONGEST else None
         found = frequent if found is None else found.unionByName(frequent)
-    return found, totals
+    return found, lowered.select("lang", "n")
 
 
-# -- exact counts --------------------------------------------------------------------------------
+# -- the phrases as text -------------------------------------------------------------------------
 
 def exact_counts(texts: DataFrame, candidates: DataFrame, support: int = SUPPORT, bits: int = FILTER_BITS) -> DataFrame:
     """``(lang, phrase, k, f)`` of all candidates (and words) that stand ``support`` times."""
-    def of_language(batches):  # the shard is taken out of the hash again
-        for batch in batches:
-            pairs = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            number = {n: i for i, n in enumerate(sorted(set(pairs)))}
-            of = np.array([number[p] for p in pairs], np.int64)
-            gram = _unmixed(batch.column(2).to_numpy().view(np.uint64)) ^ _seeds([f"{s}:{g}" for g, s in number])[of]
-            key = mix64(gram ^ _seeds([f":{g}" for g, _ in number])[of])
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], names=["h"])
-
-    marked = texts.sparkSession.sparkContext.broadcast(
-        bitmap(candidates.select("lang", "shard", "h").mapInArrow(of_language, "h long"), bits))
+    wanted = candidates.filter(F.col("f") >= support)
+    place = F.expr(f"h ^ shiftleft(cast(slot as long), {64 - SLOT_BITS}) ^ slot").alias("h")
+    marked = texts.sparkSession.sparkContext.broadcast(bitmap(wanted.select(place), bits))
 
     def counter():
-        held, size = [], 0  # of this task: hashes summed over slices, and where the phrase of each stands
+        held, size = [], 0  # of this task: hashes of phrases, and where each stands
         spelt, length, known = [], 0, {}
 
-        def count(words, seeds, group, names):
+        def count(words, seeds, group, names, slot):
             nonlocal size, length
-            seeds = _seeds([f":{g}" for g, _ in names])
             code = np.array([known.setdefault(g, len(known)) for g, _ in names], np.int32)
-            grams, more = words.hashes(_KEYS, LONGEST), words.hashes(_MORE_KEYS, 1)[1]
+            grams, beside = words.hashes(_KEYS, LONGEST), words.hashes_beside(LONGEST)
             text, begin, end = words.spelt()
+            slot = slot.astype(np.uint64)
+            slot ^= slot << np.uint64(64 - SLOT_BITS)
             for k in range(1, LONGEST + 1):
                 at = words.places(k)
                 keys = mix64(grams[k][at] ^ seeds[group[at]])
-                seen = in_bitmap(marked.value, keys, bits)
+                seen = in_bitmap(marked.value, keys ^ slot[at], bits)
                 at, keys = at[seen], keys[seen]
-                # equal phrases of one language: by two independent hashes, 128 bits
-                second = more[at]
-                for j in range(1, k):
-                    second = mix64(second * np.uint64(_BASE) + more[at + j])
-                held.append(equal([(keys, second, np.ones(len(at), np.int64), begin[at].astype(np.int64) + length,
-                                    end[at + k - 1] - begin[at], np.full(len(at), k, np.int8), code[group[at]])]))
+                held.append(_summed([(keys, beside[k][at], np.ones(len(at), np.int64), begin[at].astype(np.int64) + length,
+                                      end[at + k - 1] - begin[at], np.full(len(at), k, np.int8), code[group[at]])], 2))
                 size += len(held[-1][0])
             spelt.append(text)
             length += len(text)
             return drained() if size >= HELD or length >= HELD_BYTES else []
 
-        def equal(parts):
-            keys, second, f, *other = parts[0] if len(parts) == 1 else [np.concatenate(c) for c in zip(*parts)]
-            order = np.argsort(keys)
-            new = np.ones(len(order), bool)
-            new[1:] = (keys[order[1:]] != keys[order[:-1]]) | (second[order[1:]] != second[order[:-1]])
-            firsts = np.flatnonzero(new)
-            first = order[firsts]
-            total = np.add.reduceat(f[order], firsts) if len(firsts) else f
-            return keys[first], second[first], total, *[c[first] for c in other]
-
         def drained():
             nonlocal size, length
             out = []
             if size:
-                _, _, f, start, many, k, lang = equal(held)
+                keys, beside, _, start, many, k, lang = _summed(held, 2)
                 held.clear()
                 text = np.concatenate(spelt)
                 langs = pa.array(list(known))
-                for i in range(0, len(f), SPELT):
+                for i in range(0, len(keys), SPELT):
                     part = slice(i, i + SPELT)
                     offset = np.concatenate([[0], np.cumsum(many[part], dtype=np.int64)])
                     at = np.arange(offset[-1]) + np.repeat(start[part] - offset[:-1], many[part])
                     phrase = pa.StringArray.from_buffers(len(offset) - 1, pa.py_buffer(offset.astype(np.int32)), pa.py_buffer(text[at]))
-                    out.append({"f": f[part], "k": k[part].astype(np.int32), "lang": langs.take(pa.array(lang[part])),
-                                "phrase": phrase})
+                    out.append({"h": keys[part].view(np.int64), "h2": beside[part].view(np.int64), "k": k[part].astype(np.int32),
+                                "lang": langs.take(pa.array(lang[part])), "phrase": phrase})
             held.clear()
             spelt.clear()
             size = length = 0
@@ -331,8 +343,10 @@ def exact_counts(texts: DataFrame, candidates: DataFrame, support: int = SUPPORT
 
         return count, drained
 
-    return _counted(texts, counter, "lang string, phrase string, k int, f long").groupBy("lang", "phrase").agg(
-        F.first("k").alias("k"), F.sum("f").alias("f")).filter(F.col("f") >= support)
+    spelled = _counted(texts, counter, "lang string, h long, h2 long, k int, phrase string")
+    # rows that a collision in the bitmap let through find no candidate
+    return spelled.distinct().join(wanted.select("lang", "h", "h2", "f"), ["lang", "h", "h2"]).select(
+        "lang", "phrase", "k", "f")
 
 
 # -- scores --------------------------------------------------------------------------------------
@@ -373,7 +387,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", suppor
     texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
                         F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(shards)).cast("int").alias("shard"),
                         F.col(text).alias("text"))
-    candidates, totals = frequent_in_shards(texts, support, bits)
+    candidates, totals = frequent_in_shards(texts, support, bits, shards)
     counts = materialize(exact_counts(texts, candidates, support, bits), "phrases")
     best = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
     # ranked in salts first, so that no task sees more of a language than salts x top phrases

@@ -108,6 +108,29 @@ def test_every_frequent_ngram_is_a_candidate(rows):
     assert counted == want
 
 
+@pytest.mark.parametrize("parts", [1, 16])
+def test_a_phrase_is_spelled_from_one_slot(rows, monkeypatch, parts):
+    """The rows that hold phrases do not grow with the tasks that have them."""
+    tables, counted = [], co._counted
+    monkeypatch.setattr(co, "_counted", lambda *args: tables.append(counted(*args)) or tables[-1])
+    texts = [(f"alpha beta gamma {i} alpha beta", "en") for i in range(320)]
+    assert run(table(rows, texts, parts)) == brute(texts, 30)
+    (spelled,) = [t for t in tables if "phrase" in t.columns]
+    got = sorted(r.phrase for r in spelled.collect())
+    assert sorted(set(got)) == ["alpha", "alpha beta", "alpha beta gamma", "beta", "beta gamma", "gamma"]
+    assert len(got) <= 8  # "alpha beta" may be found twice in its text, or a slot hold two texts
+
+
+def test_counts_are_of_all_shards(rows):
+    """A phrase that is a candidate of one shard only is counted in the others too."""
+    texts = [("rare pair", "en")] * 19 + [("rare pair other", "en")] + [(f"w{i} rare", "en") for i in range(30)]
+    docs = table(rows, texts).selectExpr("lang", "cast(if(doc_id < 19, 1, 0) as int) as shard", "text")
+    found, totals = co.frequent_in_shards(docs, support=20, shards=2)
+    assert {(r.lang, r.k, r.f) for r in found.collect()} == {("en", 1, 50), ("en", 1, 20), ("en", 2, 20)}
+    assert {(r.phrase, r.f) for r in co.exact_counts(docs, found, 20).collect()} == {("rare", 50), ("pair", 20), ("rare pair", 20)}
+    assert totals.collect() == [("en", 101)]
+
+
 def test_hashes_are_unmixed():
     x = np.random.default_rng(2).integers(0, 2**63, 1000, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     assert (co._unmixed(co.mix64(x)) == x).all()
