@@ -156,3 +156,43 @@ def test_empty(rows):
     assert hnsw.near_duplicate_vectors(empty).collect() == []
     assert hash_forest.nearest_neighbours(empty, empty).collect() == []
     assert vectors.unit(np.array([[1e200, 0.0]])).tolist() == [[1.0, 0.0]]
+
+
+def test_shards_are_stored_and_asked_in_small_rows(rows, monkeypatch):
+    """No shard is one row, whatever its size; pieces and small locksteps give the links of brute force."""
+    monkeypatch.setattr(hnsw, "PIECE", 4000, raising=False)
+    monkeypatch.setattr(hnsw, "TOGETHER", 9000, raising=False)
+    monkeypatch.setattr(hnsw, "CELLS", 5000, raising=False)
+    monkeypatch.setattr(hnsw, "HELD", 50, raising=False)
+    written, write = {}, hnsw.materialize
+
+    def kept(df, label="table"):
+        written[label] = write(df, label)
+        return written[label]
+
+    monkeypatch.setattr(hnsw, "materialize", kept)
+    x = cloud(500, groups=(2, 150))
+    out = hnsw.near_duplicate_vectors(rows(table([], x) + [(900, [1.0, 2.0], "a", "b", 1), (901, [2.0, 4.0], "a", "b", 1)], SCHEMA)).collect()
+    from pyspark.sql import functions as F
+    assert written["graphs"].agg(F.max(F.length("blob"))).first()[0] <= 4000
+    assert all(f.dataType.simpleString() != "binary" for f in written["queries"].schema)
+    u = unit(x.astype(float))
+    near = (u @ u.T >= 0.95).sum(1) - 1
+    got = {r.vec_id: r for r in out}
+    assert [got[i].n_links for i in range(500)] == near.tolist()
+    assert got[900].n_links == got[901].n_links == 1 and got[901].component_id == 900
+
+
+def test_links_of_a_large_group_are_not_held():
+    """Every query is linked with every node of the shard: 9 million pairs, of which those of one lockstep are held."""
+    import tracemalloc
+    x = unit(1 + np.random.default_rng(2).normal(size=(3000, 8)) * 0.02).astype(np.float32)
+    ids = np.arange(3000)
+    shard = hnsw.Asked(hnsw._graph_blob(ids, np.ones(3000, np.int64), x, 0.95))
+    tracemalloc.start()
+    total, to = shard.links(ids, unit(x.astype(float)), 0.95)
+    root = shard.fold()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (total == 2999).all() and (to >= 0).all() and (root == 0).all()
+    assert peak < 300e6
